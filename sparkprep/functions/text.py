@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, functions as F, types as T
@@ -20,8 +22,13 @@ BYTE_MIN_CHAR = 32
 
 @F.arrow_udf(T.StringType())
 def nfc(text: pa.Array) -> pa.Array:
-    """Unicode NFC; Spark has no built-in for it."""
-    return pc.utf8_normalize(text, form="NFC")
+    """Unicode NFC; Spark has no built-in for it. A batch of plain ASCII passes as it is."""
+    if pc.all(pc.string_is_ascii(text)).as_py() is not False:
+        return text
+    return pa.array(
+        [None if t is None else unicodedata.normalize("NFC", t) for t in text.to_pylist()],
+        pa.string(),
+    )
 
 
 def with_prefix_space(text: str | Column) -> Column:

@@ -12,7 +12,6 @@ from sparkprep.operators.chunk import ChunkConfig, chunk_dataset, chunk_stats, l
 from sparkprep.operators.sample import bin_stats, sample_per_bin
 from sparkprep.operators.split import (
     only_train_small,
-    rows_of_split,
     split_manifest,
     split_summary,
     with_small,
@@ -21,7 +20,7 @@ from sparkprep.operators.tokenize import token_stats, uint16_violations
 from sparkprep.operators.vocab import add_space_tokens, pad_vocabulary
 from sparkprep.functions.text import nfc
 from sparkprep.sources.datasets import read_dataset, subset_filter, union_datasets, with_text
-from sparkprep.sources.manifest import assign_shards, build_manifest
+from sparkprep.sources.manifest import file_manifest, with_file_shards
 from sparkprep.sources.sinks import renumbered, write_manifest, write_stats, write_subsets
 from sparkprep.streaming.incremental import output_state, pending_rows, resume_status
 
@@ -141,20 +140,19 @@ def split_job(
     small_ratio: float = 0.05,
     seed: int = 42,
     small_only: bool = False,
-    shard_bytes: int | None = None,
 ) -> DataFrame:
-    """Merge datasets and write train, val and train_small, each with its manifest.
+    """Merge datasets and write train, val and train_small, with a manifest.
 
-    A source that does not exist is left out; none left is an error.
+    The shards are the files of the sources, so rows are labelled by the file
+    they are read from. A source that does not exist is left out; none left is
+    an error.
     """
     present = [p for p in sources if _exists(spark, p)]
-    merged = union_datasets([read_dataset(spark, p) for p in present])
-    size = F.octet_length("text") if "text" in merged.columns else F.size("input_ids") * 2
-    limit = {} if shard_bytes is None else {"limit": shard_bytes}
-    rows = assign_shards(merged, size, **limit)
-    manifest = build_manifest(rows, size)
+    rows = union_datasets([with_file_shards(read_dataset(spark, p)) for p in present])
+    manifest = file_manifest(rows)
+    key = (*GROUP, "basename")
     if small_only:
-        labelled = only_train_small(manifest, small_ratio=small_ratio, seed=seed)
+        labelled = only_train_small(manifest, small_ratio=small_ratio, seed=seed, key=key)
     else:
         labelled = with_small(
             split_manifest(
@@ -163,13 +161,16 @@ def split_job(
                 val_ratio=val_ratio,
                 small_ratio=small_ratio,
                 seed=seed,
+                key=key,
             )
         )
-    write_manifest(renumbered(labelled, "position"), os.path.join(target, "_manifest"))
-    labelled = spark.read.json(os.path.join(target, "_manifest"))
-    for split in ["train_small"] if small_only else ["train", "val", "train_small"]:
-        part = rows_of_split(rows, labelled, split)
-        write_subsets(part, os.path.join(target, split))
+    listing = target.rstrip("/") + "_manifest"
+    write_manifest(renumbered(labelled, "position"), listing)
+    # Written once and read back: a small table whose size Spark knows, which
+    # decides whether the labels are broadcast to the scan or joined.
+    labelled = spark.read.json(listing)
+    parts = rows.join(labelled.select(*key, "split"), list(key)).drop("basename", "file_bytes")
+    write_subsets(parts, target, by=("split", *GROUP))
     return split_summary(labelled)
 
 

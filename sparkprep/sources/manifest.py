@@ -8,6 +8,7 @@ from sparkprep.functions.order import prefix_sum
 from sparkprep.sources.datasets import SUBSET_PATTERN
 
 SHARD_BYTES = 67_108_864  # fixed value: 64 MB
+INDEX_NAME = "index.json"  # fixed value: the manifest of a subset folder
 
 _FILE = T.StructType(
     [
@@ -59,9 +60,9 @@ def list_files(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
     )
 
 
-def discover_subsets(spark: SparkSession, root: str) -> DataFrame:
+def discover_subsets(spark: SparkSession, root: str, name: str = INDEX_NAME) -> DataFrame:
     """``dataset_path, subset`` of the folders with a valid name and a manifest."""
-    manifests = list_files(spark, root, "index.json")
+    manifests = list_files(spark, root, name)
     return (
         manifests.where(F.col("subset").rlike(SUBSET_PATTERN))
         .select("dataset_path", "subset")
@@ -69,8 +70,8 @@ def discover_subsets(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def read_index_files(spark: SparkSession, root: str) -> DataFrame:
-    """One row per shard of every ``index.json`` below ``root``.
+def read_index_files(spark: SparkSession, root: str, name: str = INDEX_NAME) -> DataFrame:
+    """One row per shard of every manifest file below ``root``.
 
     A file that cannot be parsed gives one row with null ``shard`` fields, so
     that verification can report it.
@@ -79,13 +80,13 @@ def read_index_files(spark: SparkSession, root: str) -> DataFrame:
         spark.read.schema(INDEX_SCHEMA)
         .option("multiLine", "true")
         .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "index.json")
+        .option("pathGlobFilter", name)
         .json(root)
     )
     parts = F.split(F.col("_metadata.file_path"), "/")
     located = raw.select(
         F.array_join(F.slice(parts, F.lit(1), F.size(parts) - 2), "/").alias("dataset_path"),
-        F.element_at(parts, -2).alias("subset"),
+        F.regexp_replace(F.element_at(parts, -2), "^subset=", "").alias("subset"),
         F.posexplode_outer("shards").alias("shard_id", "shard"),
     ).where(F.col("subset").rlike(SUBSET_PATTERN))
     return located.select("dataset_path", "subset", "shard_id", "shard.*")
@@ -119,19 +120,22 @@ def build_manifest(sharded: DataFrame, bytes_col: Column) -> DataFrame:
     )
 
 
-def written_manifest(df: DataFrame) -> DataFrame:
-    """The manifest of a Parquet dataset as written: one row per file.
-
-    Counts come from file footers and sizes from the listing; no column is read.
-    """
-    meta = df.select(
-        "dataset",
-        "subset",
+def with_file_shards(df: DataFrame) -> DataFrame:
+    """Add ``basename`` and ``file_bytes`` of the file a row is read from: its shard."""
+    return df.select(
+        "*",
         F.col("_metadata.file_name").alias("basename"),
-        F.col("_metadata.file_size").alias("bytes"),
+        F.col("_metadata.file_size").alias("file_bytes"),
     )
-    return meta.groupBy("dataset", "subset", "basename").agg(
-        F.count("*").alias("samples"), F.max("bytes").alias("bytes")
+
+
+def file_manifest(rows: DataFrame) -> DataFrame:
+    """``dataset, subset, basename, samples, bytes``: one row per file of a dataset.
+
+    Needs rows from ``with_file_shards``; no data column is read.
+    """
+    return rows.groupBy("dataset", "subset", "basename").agg(
+        F.count("*").alias("samples"), F.max("file_bytes").alias("bytes")
     )
 
 

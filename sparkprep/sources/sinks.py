@@ -45,13 +45,13 @@ def renumbered(manifest: DataFrame, position: str, within: Sequence[str] = ("spl
     """Shard entries of a merged split with new names ``shard.00000``, ``shard.00001``, ...
 
     ``position`` is the 1-based place of the shard in its split. The original
-    place of the data stays in ``dataset, subset, shard_id``.
+    place of the data stays in its key columns.
     """
     number = F.lpad((F.col(position) - 1).cast("string"), 5, "0")
     wide = (F.col(position) - 1).cast("string")
     # lpad would cut numbers of more than five digits.
     name = F.when(F.col(position) > 100_000, wide).otherwise(number)
-    return manifest.withColumn("basename", F.concat(F.lit("shard."), name))
+    return manifest.withColumn("new_name", F.concat(F.lit("shard."), name))
 
 
 def write_stats(stats: DataFrame, path: str, fmt: str = "json") -> None:
