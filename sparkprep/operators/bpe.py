@@ -126,6 +126,7 @@ def train_bpe(
         int(conf.get("spark.sql.shuffle.partitions")),
     )
     symbols = symbols.repartition(width, "symbols").checkpoint()
+    rounds: list[DataFrame] = []
     while len(learned.tokens) < vocab_size:
         pairs = pair_counts(symbols)
         long = _too_long_pairs(lengths, max_token_length)
@@ -153,11 +154,20 @@ def train_bpe(
             replaced = F.replace(
                 replaced, F.lit(token_code(a) + token_code(b)), F.lit(token_code(new))
             )
-        # A piece that has become one token can take no further merge.
-        symbols = symbols.select(replaced.alias("symbols"), "n").where(F.length("symbols") > 1)
+        # Each round is cached by its own counting job; the round before is then
+        # dropped. Checkpoints bound what a lost executor makes Spark repeat.
+        older, symbols = symbols, symbols.select(replaced.alias("symbols"), "n").persist()
         learned.rounds += 1
         if learned.rounds % checkpoint_rounds == 0:
-            symbols = symbols.checkpoint()
+            # A piece that has become one token can take no further merge.
+            kept = symbols.where(F.length("symbols") > 1).checkpoint()
+            symbols.unpersist()
+            symbols = kept
+        rounds.append(older)
+        if len(rounds) > 1:
+            rounds.pop(0).unpersist()
+    for older in (*rounds, symbols):
+        older.unpersist()
     return learned
 
 

@@ -83,9 +83,18 @@ def preset(chunk_size: int, bos_id: int, eos_id: int | None, **changes: object)
     return ChunkConfig(chunk_size, bos_id, eos_id, **{**options, **changes})
 
 
+def sample_size(df: DataFrame, ids: str = "input_ids") -> Column:
+    """The stored ``len`` where there is one, else the number of ids."""
+    return F.col("len") if "len" in df.columns else F.size(ids)
+
+
 def keep_long_samples(df: DataFrame, min_tokens: int, ids: str = "input_ids") -> DataFrame:
-    """Drop samples with fewer than ``min_tokens`` ids."""
-    return df.where(F.size(ids) >= min_tokens)
+    """Drop samples with fewer than ``min_tokens`` ids.
+
+    A stored ``len`` is compared in the scan; the arrays of dropped samples are
+    never decoded.
+    """
+    return df.where(sample_size(df, ids) >= min_tokens)
 
 
 def append_eos(ids: Column, eos_id: int) -> Column:
@@ -105,13 +114,14 @@ def wrap_specials(ids: Column, cfg: ChunkConfig) -> Column:
     has_bos = F.coalesce(F.get(ids, F.lit(0)) == cfg.bos_id, F.lit(False))
     limit = max(0, cfg.wrapped_limit)
     room = F.when(has_bos, limit).otherwise(max(0, limit - 1))
-    body = F.slice(ids, F.lit(1), room)
-    opened = F.when(has_bos, body).otherwise(F.concat(bos, body)) if limit else body
-    if cfg.eos_id is None:
-        return opened
-    taken = F.least(F.size(ids), room)
-    last = F.when(taken > 0, F.get(ids, taken - 1)).otherwise(F.lit(cfg.bos_id))
-    return F.when(last == cfg.eos_id, opened).otherwise(F.concat(opened, eos))
+    nothing = F.array().cast("array<int>")
+    lead = F.when(has_bos, nothing).otherwise(bos) if limit else nothing
+    close = eos
+    if cfg.eos_id is not None:
+        taken = F.least(F.size(ids), room)
+        last = F.when(taken > 0, F.get(ids, taken - 1)).otherwise(F.lit(cfg.bos_id))
+        close = F.when(last == cfg.eos_id, nothing).otherwise(eos)
+    return F.concat(lead, F.slice(ids, F.lit(1), room), close)
 
 
 def with_chunk_plan(
@@ -269,7 +279,7 @@ def chunk_dataset(
     reencode: Callable[[DataFrame, str], DataFrame] | None = None,
 ) -> DataFrame:
     """Filter short samples and cut the rest: ``keep + key, chunk_idx, input_ids, len, below_min``."""
-    source = keep_long_samples(df.select(*keep, *key, ids), cfg.min_sample_tokens, ids)
+    source = keep_long_samples(df, cfg.min_sample_tokens, ids).select(*keep, *key, ids)
     rows = chunk_windows(source, cfg, key=key, ids=ids, reencode=reencode)
     return rows.select(*keep, *key, "chunk_idx", "input_ids", "len", "below_min")
 
@@ -284,9 +294,8 @@ def chunk_stats(
     reencode: Callable[[DataFrame, str], DataFrame] | None = None,
 ) -> DataFrame:
     """Counters per group and overall (null group), in one pass and one small shuffle."""
-    source = df.select(*by, *key, ids).withColumn(
-        "_short", F.size(ids) < cfg.min_sample_tokens
-    )
+    short = sample_size(df, ids) < cfg.min_sample_tokens
+    source = df.select(*by, *key, ids, short.alias("_short"))
     # A short sample is cut as an empty one: it keeps its row and gives no chunk.
     source = source.withColumn(
         ids, F.when(F.col("_short"), F.array().cast("array<int>")).otherwise(F.col(ids))

@@ -18,6 +18,7 @@ LOCAL_DEFAULTS = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.driver.memory": "16g",
+    "spark.sql.dataFrameQueryContext.enabled": "false",
 }
 
 
