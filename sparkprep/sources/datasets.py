@@ -115,6 +115,8 @@ def limit_lines(
     """
     rank = {name: i for i, name in enumerate(datasets)}
     known = df.where(F.col("dataset").isin(*datasets))
+    if n <= 0:
+        return known.limit(0)
     position = F.lit(-1)
     for name, i in rank.items():
         position = F.when(F.col("dataset") == name, i).otherwise(position)

@@ -30,6 +30,25 @@ def rows_of(columns: list[str], rows) -> list[tuple]:
     return sorted((tuple(_plain(r[i]) for i in order) for r in rows), key=repr)
 
 
+TYPES = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "string": "VARCHAR",
+    "boolean": "BOOLEAN",
+    "double": "DOUBLE",
+}
+
+
+def type_differences(df, description) -> list[str]:
+    """Columns whose types differ on the two sides."""
+    want = {d[0]: str(d[1]) for d in description}
+    return [
+        f"{name}: {kind} and {want.get(name)}"
+        for name, kind in df.dtypes
+        if TYPES.get(kind, kind) != want.get(name)
+    ]
+
+
 def compare(spark, con, sf_dir: str, query, sql: str) -> str | None:
     """None when equal, else what differs."""
     df = query(spark, sf_dir)
@@ -39,6 +58,9 @@ def compare(spark, con, sf_dir: str, query, sql: str) -> str | None:
     want = rows_of(names, result.fetchall())
     if sorted(df.columns) != sorted(names):
         return f"columns {sorted(df.columns)} and {sorted(names)}"
+    types = type_differences(df, result.description)
+    if types:
+        return f"types: {types}"
     if len(got) != len(want):
         return f"{len(got)} rows and {len(want)}"
     for a, b in zip(got, want):
