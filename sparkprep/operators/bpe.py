@@ -9,6 +9,7 @@ loop stays in built-in string functions.
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
@@ -228,11 +229,16 @@ def _id_of(char: str) -> int:
     return (code - width if code >= start else code) - _FIRST_CODE
 
 
+# Encoded pieces per vocabulary, kept by a Python worker from task to task.
+_PIECES: dict[str, dict[str, list[int]]] = {}
+_MAX_PIECES = 200_000
+
+
 class BpeCodec:
     """Encode and decode with one vocabulary, inside a task.
 
-    ``vocab`` and ``merges`` are bounded by the 16-bit id range. Pieces are
-    encoded once per task and remembered, because text repeats its words.
+    ``vocab`` and ``merges`` are bounded by the 16-bit id range. Text repeats its
+    words, so a piece once encoded is remembered.
     """
 
     def __init__(
@@ -244,18 +250,18 @@ class BpeCodec:
         index = {t: i for i, t in enumerate(tokens)}
         self.byte_id = [index.get(c, -1) for c in BYTE_CHARS]
         self.raw = [self._bytes(t) for t in tokens]
-        self.cache: dict[str, list[int]] = {}
+        content = repr((tokens, merges, tuple(added))).encode("utf-8", "surrogatepass")
+        self.key = hashlib.sha256(content).hexdigest()
 
     def piece(self, text: str) -> list[int]:
-        found = self.cache.get(text)
+        known = _PIECES.get(self.key)
+        if known is None or len(known) >= _MAX_PIECES:
+            _PIECES.clear()
+            known = _PIECES[self.key] = {}
+        found = known.get(text)
         if found is None:
-            if text in self.added:
-                found = [self.added[text]]
-            else:
-                found = self._merge(text)
-            if len(self.cache) >= 200_000:
-                self.cache.clear()
-            self.cache[text] = found
+            found = [self.added[text]] if text in self.added else self._merge(text)
+            known[text] = found
         return found
 
     def _merge(self, text: str) -> list[int]:
@@ -343,7 +349,11 @@ def pieces_with_added(text: str | Column, added: Sequence[str] = ()) -> Column:
 
 
 def encode_pieces(pieces: Column, codec: BpeCodec) -> Column:
-    """Token ids of an array of pieces; each distinct piece of a batch is merged once."""
+    """Token ids of an array of pieces; each distinct piece of a batch is merged once.
+
+    The function is declared nondeterministic although it is not: Spark then
+    neither repeats it to push a filter down nor copies the expressions around it.
+    """
 
     @F.arrow_udf(T.ArrayType(T.IntegerType()))
     def encode(batch: pa.Array) -> pa.Array:
@@ -366,7 +376,7 @@ def encode_pieces(pieces: Column, codec: BpeCodec) -> Column:
         new_offsets = ends[offsets - offsets[0]].astype(np.int32)
         return _lists(new_offsets, pa.array(table[take]), batch)
 
-    return encode(pieces)
+    return encode.asNondeterministic()(pieces)
 
 
 def encode(text: str | Column, codec: BpeCodec) -> Column:
@@ -383,7 +393,7 @@ def decode(ids: str | Column, codec: BpeCodec) -> Column:
             [None if x is None else codec.text(x) for x in _id_lists(batch)], pa.string()
         )
 
-    return text_of(F.col(ids) if isinstance(ids, str) else ids)
+    return text_of.asNondeterministic()(F.col(ids) if isinstance(ids, str) else ids)
 
 
 def prefix_space_step(codec: BpeCodec):

@@ -64,7 +64,7 @@ def tokenize_words(
             mask=mask,
         )
 
-    return _with_len(df.withColumn("input_ids", look_up(words(text))))
+    return _with_len(df.withColumn("input_ids", look_up.asNondeterministic()(words(text))))
 
 
 def tokenize_words_joined(
@@ -136,7 +136,7 @@ def tokenize_with(
         for batch in batches:
             yield _tokenized(tokenizer, batch.to_pylist(), keep_going)
 
-    done = df.withColumn("_result", run(F.col(text))).withColumn("input_ids", F.col("_result.ids"))
+    done = df.withColumn("_result", run.asNondeterministic()(F.col(text))).withColumn("input_ids", F.col("_result.ids"))
     if keep_going:
         done = done.withColumn("error", F.col("_result.error"))
     return _with_len(done.drop("_result"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -56,6 +57,32 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return os.path.join(shared_dir(spark), f"{label}-{uuid.uuid4().hex}")
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give this package to the Python workers, once per application.
+
+    Workers import it by name. A job submitted with ``--py-files`` has it already;
+    adding it again does no harm. Spark itself hands the archive to executors,
+    so it may be built in a temporary folder of the driver.
+    """
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    name = os.path.basename(package)
+    archive = os.path.join(tempfile.mkdtemp(prefix=f"{name}-"), f"{name}.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for folder, _, files in os.walk(package):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(folder, f)
+                    out.write(full, os.path.join(name, os.path.relpath(full, package)))
+    spark.sparkContext.addPyFile(archive)
+    _SHIPPED.add(app)
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Use all cores when a scan has fewer splits than the cluster has cores.
 
