@@ -86,7 +86,20 @@ def pcw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("language", F.round("pcw", 6).alias("pcw"))
 
 
-@query("eval_bpe")
+@query(
+    "eval_bpe",
+    f"""WITH {tb.SQL_WORD_TOKENS},
+    lengths AS (
+      SELECT 'learned' AS tokenizer, {5 + 256 + tb.BPE_MERGES} AS vocab_size, lang, source, tokens AS k
+      FROM exploded JOIN word_tokens USING (word)
+      UNION ALL
+      SELECT 'bytes', {BYTE_VOCAB}, lang, source, strlen(word) FROM exploded
+    )
+    SELECT tokenizer, lang AS language, source AS dataset, CAST(max(vocab_size) AS BIGINT) AS vocab_size,
+           round(avg(k), 6) AS fertility,
+           round(avg(CASE WHEN k >= 2 THEN 1.0 ELSE 0.0 END), 6) AS pcw
+    FROM lengths GROUP BY tokenizer, lang, source""",
+)
 def eval_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Learned tokens per word next to bytes per word."""
     codec = tb.codec(spark, sf_dir)

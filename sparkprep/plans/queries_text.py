@@ -333,12 +333,35 @@ def tokenize_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return failure_status(rows, ["subset"])
 
 
-@query("bpe_train")
+@query(
+    "bpe_train",
+    f"""WITH {tb.SQL_BPE}
+    SELECT DISTINCT CAST(k - 1 AS INTEGER) AS rank,
+           CAST(unicode(substr(pair, 1, 1)) - 256 AS INTEGER) AS left_id,
+           CAST(unicode(substr(pair, 2, 1)) - 256 AS INTEGER) AS right_id,
+           CAST(260 + k AS INTEGER) AS new_id, pair_n AS n
+    FROM step WHERE k > 0""",
+)
 def bpe_train(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tb.trained(spark, sf_dir)[1]
+    return tb.trained(spark, sf_dir)[1].drop("token")
 
 
-@query("bpe_encode")
+@query(
+    "bpe_encode",
+    f"""WITH {tb.SQL_BPE},
+    final AS (
+      SELECT piece, list_transform(string_split(symbols, ''), lambda c: unicode(c) - 256) AS ids
+      FROM step WHERE k = {tb.BPE_MERGES}
+    ),
+    placed AS (
+      SELECT id, unnest(ps) AS piece, generate_subscripts(ps, 1) AS pos FROM piece_lists
+    ),
+    encoded AS (
+      SELECT p.id, [0] || coalesce(flatten(list(f.ids ORDER BY pos)), []) || [3] AS ids
+      FROM placed p JOIN final f ON f.piece = p.piece GROUP BY p.id
+    )
+    SELECT id, CAST(len(ids) AS BIGINT) AS len, {sql_md5('ids')} AS ids_md5 FROM encoded""",
+)
 def bpe_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
     cls, sep = vo.chunk_special_ids(tb.trained(spark, sf_dir)[0])
     codec = tb.codec(spark, sf_dir)

@@ -104,7 +104,7 @@ def trained(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     if run not in _TRAINED:
         path = scratch_path(spark, "bpe")
         counts = piece_counts(documents(spark, sf_dir))
-        learned = train_bpe(counts, vocab_size=5 + 256 + BPE_MERGES, alphabet="all")
+        learned = train_bpe(counts, vocab_size=_START_IDS + BPE_MERGES, alphabet="all")
         learned.vocab(spark).write.parquet(path + "/vocab")
         learned.table(spark).write.parquet(path + "/merges")
         _TRAINED[run] = path
@@ -170,13 +170,14 @@ bytes AS (
 ),
 tok AS (SELECT dataset, subset, sample_idx, id, [{CLS}] || b || [{SEP}] AS t FROM bytes)"""
 
-SQL_WORDS = f"""{SQL_DOCUMENTS},
+_WORDS = f"""
 doc_words AS (
   SELECT *, list_filter(regexp_split_to_array(text, '{SQL_WORD_SPACE}+'),
                         lambda w: regexp_matches(w, '[\\p{{L}}\\p{{N}}_]')) AS ws
   FROM docs
 ),
 exploded AS (SELECT id, lang, source, subset, unnest(ws) AS word FROM doc_words)"""
+SQL_WORDS = f"{SQL_DOCUMENTS},{_WORDS}"
 
 SQL_WORD_VOCAB = f"""{SQL_WORDS},
 ranked AS (
@@ -192,17 +193,76 @@ vocab AS (
 
 # A mark before the last space of a run lets RE2, which cannot look ahead, stop
 # a run of spaces where the piece rule stops it.
+
+
+def sql_pieces(text: str) -> str:
+    """The pieces of a text expression, as a list."""
+    prefixed = f"CASE WHEN {text} = '' OR {text} LIKE ' %' THEN {text} ELSE ' ' || {text} END"
+    space = r"\x{09}-\x{0d} \x{85}\p{Z}"
+    marked = f"regexp_replace({prefixed}, '([{space}])([^{space}])', chr(1) || '\\1\\2', 'g')"
+    pattern = (
+        rf"''s|''t|''re|''ve|''m|''ll|''d| ?\p{{L}}+| ?\p{{N}}+"
+        rf"| ?[^\x{{01}}{space}\p{{L}}\p{{N}}]+|[{space}]+"
+    )
+    return f"regexp_extract_all({marked}, '{pattern}')"
+
+
 SQL_PIECES = f"""{SQL_DOCUMENTS},
-marked AS (
-  SELECT id, regexp_replace(CASE WHEN text = '' OR text LIKE ' %' THEN text ELSE ' ' || text END,
-    '({SQL_SPACE})([^\\x{{09}}-\\x{{0d}} \\x{{85}}\\p{{Z}}])', chr(1) || '\\1\\2', 'g') AS m
-  FROM docs
+piece_lists AS (SELECT id, {sql_pieces('text')} AS ps FROM docs),
+pieces AS (SELECT id, unnest(ps) AS piece FROM piece_lists),
+piece_counts AS (SELECT piece, count(*) AS n FROM pieces GROUP BY piece)"""
+
+# Merges learned one at a time: a piece is a string with one character per token,
+# and each step replaces the most frequent pair by the next character.
+_START_IDS = 5 + 256
+_CODED = """array_to_string(list_transform(
+    [('0x' || h)::INT FOR h IN regexp_extract_all(hex(encode(piece)), '..')],
+    lambda x: chr(code_of[x + 1])), '')"""
+SQL_BPE = f"""RECURSIVE {SQL_PIECES},
+characters AS (
+  SELECT b, CASE WHEN plain THEN b ELSE 255 + row_number() OVER (PARTITION BY plain ORDER BY b) END AS c
+  FROM (SELECT b, (b BETWEEN 33 AND 126) OR (b BETWEEN 161 AND 172) OR (b BETWEEN 174 AND 255) AS plain
+        FROM range(256) r(b))
 ),
-pieces AS (
-  SELECT id, unnest(regexp_extract_all(m, '''s|''t|''re|''ve|''m|''ll|''d| ?\\p{{L}}+| ?\\p{{N}}+| ?[^\\x{{01}}\\x{{09}}-\\x{{0d}} \\x{{85}}\\p{{Z}}\\p{{L}}\\p{{N}}]+|{SQL_SPACE}+')) AS piece
-  FROM marked
+codes AS (SELECT list(code ORDER BY b) AS code_of
+          FROM (SELECT b, CAST(260 + row_number() OVER (ORDER BY c) AS INTEGER) AS code FROM characters)),
+coded AS (
+  SELECT piece, n, {_CODED} AS symbols FROM piece_counts, codes
 ),
-piece_counts AS (SELECT piece, count(*) AS n FROM pieces GROUP BY piece)"""
+step AS (
+  SELECT 0 AS k, piece, symbols, n, '' AS pair, CAST(0 AS BIGINT) AS pair_n FROM coded
+  UNION ALL
+  SELECT k + 1, piece, replace(symbols, best.pair, chr(CAST(256 + {_START_IDS} + k AS INTEGER))), n,
+         best.pair, best.pair_n
+  FROM step, (
+    SELECT substr(symbols, i, 2) AS pair, CAST(sum(n) AS BIGINT) AS pair_n
+    FROM (SELECT symbols, n, unnest(range(1, length(symbols))) AS i FROM step)
+    GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 1
+  ) AS best
+  WHERE k < {BPE_MERGES}
+)"""
+
+
+# The number of tokens of each distinct word, encoded alone.
+SQL_WORD_TOKENS = f"""{SQL_BPE},{_WORDS},
+merges AS (
+  SELECT list(pair || chr(CAST(255 + {_START_IDS} + k AS INTEGER)) ORDER BY k) AS ms
+  FROM (SELECT DISTINCT k, pair FROM step WHERE k > 0)
+),
+word_pieces AS (
+  SELECT word, unnest({sql_pieces('word')}) AS piece FROM (SELECT DISTINCT word FROM exploded)
+),
+alone AS (
+  SELECT DISTINCT piece, {_CODED} AS symbols FROM word_pieces, codes
+),
+merged AS (
+  SELECT piece, length(list_reduce(ms, lambda acc, m: replace(acc, substr(m, 1, 2), substr(m, 3, 1)),
+                                   symbols)) AS tokens
+  FROM alone, merges
+),
+word_tokens AS (
+  SELECT word, sum(tokens) AS tokens FROM word_pieces JOIN merged USING (piece) GROUP BY word
+)"""
 
 
 def sql_md5(list_expr: str) -> str:

@@ -11,8 +11,9 @@ def draw(seed: int, key: str) -> int:
     return int(hashlib.md5(f"{seed}:{key}".encode()).hexdigest()[:8], 16)
 
 
-def closed(ids: list[int], c: ChunkConfig) -> list[int]:
+def closed(ids: list[int], c: ChunkConfig, spaced=list) -> list[int]:
     """One chunk with its special ids, in the reference length rules."""
+    ids = spaced(ids)
     out = ids if ids and ids[0] == c.bos_id else [c.bos_id, *ids]
     out = out[: max(0, c.chunk_size - (1 if c.eos_id is None else 2))]
     if c.eos_id is not None and out and out[-1] != c.eos_id:
@@ -20,8 +21,19 @@ def closed(ids: list[int], c: ChunkConfig) -> list[int]:
     return out
 
 
-def chunks(ids: list[int], c: ChunkConfig, key: str) -> tuple[list[list[int]], int, int]:
-    """Piece by piece, keeping the list of chunks so far."""
+def chunks(
+    ids: list[int], c: ChunkConfig, key: str, reencode=None
+) -> tuple[list[list[int]], int, int]:
+    """Piece by piece, keeping the list of chunks so far.
+
+    ``reencode`` is the prefix-space step, for chunks that do not open with BOS.
+    """
+
+    def spaced(x):
+        if reencode is None or (x and x[0] == c.bos_id):
+            return list(x)
+        return reencode(x)[: c.chunk_size - 2]
+
     lossless = c.specials == LOSSLESS
     ids = list(ids)
     if lossless:
@@ -34,7 +46,7 @@ def chunks(ids: list[int], c: ChunkConfig, key: str) -> tuple[list[list[int]], i
     width = c.chunk_size - 2
     if width <= 0:
         return [], 0, len(ids)
-    wrap = (lambda x: list(x)) if lossless else (lambda x: closed(list(x), c))
+    wrap = spaced if lossless else (lambda x: closed(list(x), c, spaced))
     bare = (lambda x: x) if lossless else (lambda x: x[1:])
     out: list[list[int]] = []
     duplicated = skipped = 0

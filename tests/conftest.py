@@ -10,11 +10,12 @@ import pytest
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from sparkprep.session import local_session  # noqa: E402
+from sparkprep.session import local_session, ship_package  # noqa: E402
 
 
 @pytest.fixture(scope="session")
 def spark():
     session = local_session(8, "tests")
+    ship_package(session)
     yield session
     session.stop()

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import json
 
+import brute
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer, decoders, models, pre_tokenizers, processors, trainers
 
 from sparkprep.functions.text import pre_tokenize, words
 from sparkprep.operators import bpe, tokenize as tk, vocab as vo
+from sparkprep.operators.chunk import ChunkConfig, chunk_dataset
 
 ODD_TEXTS = [
     "",
@@ -143,20 +145,23 @@ def test_template_equals_library(texts, lines, learned):
     assert [r.len for r in rows] == [len(w.ids) for w in want]
 
 
-class LibraryTokenizer:
+def library_factory(saved: str):
     """A user tokenizer around the library, built on the worker."""
 
-    def __init__(self, saved: str) -> None:
-        self.inner = Tokenizer.from_str(saved)
+    class LibraryTokenizer:
+        def __init__(self) -> None:
+            self.inner = Tokenizer.from_str(saved)
 
-    def tokenize_batch(self, batch):
-        return [e.ids for e in self.inner.encode_batch(batch)]
+        def tokenize_batch(self, batch):
+            return [e.ids for e in self.inner.encode_batch(batch)]
+
+    return LibraryTokenizer
 
 
 def test_pluggable_tokenizer_equals_own_encoding(texts, lines, learned):
     saved = library(lines, 270, 64).to_str()
     df = texts.where("doc_id < 1000000")
-    theirs = tk.tokenize_with(df, lambda: LibraryTokenizer(saved))
+    theirs = tk.tokenize_with(df, library_factory(saved))
     mine = tk.tokenize_bpe(df, bpe.codec_of(learned), normalize=False)
     both = theirs.select("doc_id", "input_ids").exceptAll(mine.select("doc_id", "input_ids"))
     assert both.count() == 0
@@ -185,6 +190,31 @@ def test_prefix_space_step(spark, learned):
     assert rows[2].ids is None
 
 
+@pytest.mark.parametrize("mode", brute.MODES)
+@pytest.mark.parametrize("specials", ["reference", "lossless"])
+def test_prefix_space_in_chunks_equals_brute_force(texts, lines, learned, mode, specials):
+    t = library(lines, 270, 64)
+    t.add_special_tokens(list(vo.SPECIAL_TOKENS))
+    codec = bpe.BpeCodec(learned.tokens, [m[:3] for m in learned.merges], vo.SPECIAL_TOKENS)
+    df = tk.tokenize_bpe(texts.where("doc_id % 10 = 0"), codec).withColumnRenamed("doc_id", "id")
+    df = df.select("id", "input_ids", "len").persist()
+    cfg = ChunkConfig(
+        24, 0, 3, min_chunk_size=12, always_skip_size=3, backfill=mode, specials=specials
+    )
+
+    def again(ids):
+        text = t.decode(list(ids), skip_special_tokens=False)
+        return list(ids) if text.startswith(" ") else t.encode(text, add_special_tokens=False).ids
+
+    want = []
+    for r in df.collect():
+        made, _, _ = brute.chunks(list(r.input_ids), cfg, str(r.id), again)
+        want += [(r.id, i, tuple(x)) for i, x in enumerate(made)]
+    rows = chunk_dataset(df, cfg, keep=(), reencode=bpe.prefix_space_step(codec))
+    got = [(r.id, r.chunk_idx, tuple(r.input_ids)) for r in rows.collect()]
+    assert sorted(got) == sorted(want)
+
+
 def test_word_lookup_beyond_the_broadcast_bound(spark, monkeypatch, texts):
     vocab = spark.createDataFrame([("a", 7), ("the", 8)], "token string, id int")
     df = texts.withColumnRenamed("doc_id", "id")
