@@ -278,10 +278,24 @@ def chunk_dataset(
     ids: str = "input_ids",
     reencode: Callable[[DataFrame, str], DataFrame] | None = None,
 ) -> DataFrame:
-    """Filter short samples and cut the rest: ``keep + key, chunk_idx, input_ids, len, below_min``."""
+    """Filter short samples and cut the rest.
+
+    Columns: ``keep + key, chunk_idx, input_ids, len, below_min`` and the counters
+    ``duplicated_tokens`` and ``skipped_tokens``, which let the statistics be read
+    from the written chunks. ``skipped_tokens`` stands on a document's first chunk.
+    """
     source = keep_long_samples(df, cfg.min_sample_tokens, ids).select(*keep, *key, ids)
     rows = chunk_windows(source, cfg, key=key, ids=ids, reencode=reencode)
-    return rows.select(*keep, *key, "chunk_idx", "input_ids", "len", "below_min")
+    return rows.select(
+        *keep,
+        *key,
+        "chunk_idx",
+        "input_ids",
+        "len",
+        "below_min",
+        "duplicated_tokens",
+        "skipped_tokens",
+    )
 
 
 def chunk_stats(
@@ -316,6 +330,40 @@ def chunk_stats(
     )
 
 
+def written_chunk_stats(
+    tokens: DataFrame, chunks: DataFrame, cfg: ChunkConfig, *, by: Sequence[str] = ("subset",)
+) -> DataFrame:
+    """The same counters from tables on disk, without cutting again or reading an array.
+
+    Chunks tell what was written, duplicated and skipped; the stored lengths of
+    the tokenized samples tell how many there were and how many were too short.
+    """
+    size = sample_size(tokens)
+    long = size >= cfg.min_sample_tokens
+    lost = F.when(long, size).otherwise(0) if cfg.window <= 0 else F.lit(0)
+    inputs = tokens.groupBy(*by).agg(
+        F.count_if(long).alias("total_input_samples"),
+        F.lit(0).cast("bigint").alias("total_output_chunks"),
+        F.lit(0).cast("bigint").alias("total_tokens_written"),
+        F.lit(0).cast("bigint").alias("total_duplicated_tokens"),
+        F.sum(lost).cast("bigint").alias("total_tokens_skipped"),
+        F.count_if(~long).alias("total_samples_skipped_by_length"),
+    )
+    outputs = chunks.groupBy(*by).agg(
+        F.lit(0).cast("bigint").alias("total_input_samples"),
+        F.count("*").alias("total_output_chunks"),
+        F.sum("len").cast("bigint").alias("total_tokens_written"),
+        F.sum("duplicated_tokens").cast("bigint").alias("total_duplicated_tokens"),
+        F.sum("skipped_tokens").cast("bigint").alias("total_tokens_skipped"),
+        F.lit(0).cast("bigint").alias("total_samples_skipped_by_length"),
+    )
+    both = inputs.unionByName(outputs)
+    counters = [c for c in both.columns if c not in by]
+    return both.rollup(*by).agg(
+        *[F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(c) for c in counters]
+    )
+
+
 def length_percentiles(
     df: DataFrame, *, by: Sequence[str] = ("subset",), length: str = "len", step: int = 10
 ) -> DataFrame:

@@ -86,11 +86,21 @@ def sample_per_bin(
 
 
 def bin_stats(
-    df: DataFrame, edges: Sequence[int], k: int = 500, *, seed: int = 42, key: Sequence[str] = ("id",)
+    df: DataFrame,
+    edges: Sequence[int],
+    k: int = 500,
+    *,
+    seed: int = 42,
+    key: Sequence[str] = ("id",),
+    chosen: DataFrame | None = None,
 ) -> DataFrame:
-    """Per bin: rows in it, rows collected (at most ``k``) and their sorted lengths."""
+    """Per bin: rows in it, rows collected (at most ``k``) and their sorted lengths.
+
+    ``chosen`` may be a sample that was already drawn and written.
+    """
     totals = binned(df, edges).groupBy("bin_label").agg(F.count("*").alias("total"))
-    chosen = chosen_per_bin(df, edges, k, seed=seed, key=key)
+    if chosen is None:
+        chosen = chosen_per_bin(df, edges, k, seed=seed, key=key)
     collected = chosen.groupBy("bin_label").agg(
         F.count("*").alias("collected"), F.sort_array(F.collect_list("len")).alias("lengths")
     )

@@ -168,6 +168,15 @@ def uint16_violations(df: DataFrame, ids: str = "input_ids") -> DataFrame:
     return df.where(~fits_uint16(ids))
 
 
+def require_uint16(df: DataFrame, ids: str = "input_ids") -> DataFrame:
+    """The same rows; a task that meets an id outside 16 bits fails.
+
+    The check is part of the pass that writes the rows, so it costs no second one.
+    """
+    failure = F.raise_error(F.lit("an id is outside the 16-bit range"))
+    return df.withColumn(ids, F.when(fits_uint16(ids), F.col(ids)).otherwise(failure))
+
+
 def token_stats(df: DataFrame, *, by: Sequence[str] = ("subset",), length: str = "len") -> DataFrame:
     """``num_tokens, num_samples`` per group and overall (null group)."""
     return df.rollup(*by).agg(

@@ -8,7 +8,12 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sparkprep.operators.bpe import Merges, piece_counts, train_bpe
-from sparkprep.operators.chunk import ChunkConfig, chunk_dataset, chunk_stats, length_percentiles
+from sparkprep.operators.chunk import (
+    ChunkConfig,
+    chunk_dataset,
+    length_percentiles,
+    written_chunk_stats,
+)
 from sparkprep.operators.sample import bin_stats, sample_per_bin
 from sparkprep.operators.split import (
     only_train_small,
@@ -16,7 +21,7 @@ from sparkprep.operators.split import (
     split_summary,
     with_small,
 )
-from sparkprep.operators.tokenize import token_stats, uint16_violations
+from sparkprep.operators.tokenize import require_uint16, token_stats
 from sparkprep.operators.vocab import add_space_tokens, pad_vocabulary
 from sparkprep.functions.text import nfc
 from sparkprep.sources.datasets import read_dataset, subset_filter, union_datasets, with_text
@@ -75,12 +80,8 @@ def tokenize_job(
         corpus = pending_rows(corpus.join(open_subsets, list(GROUP), "left_semi"), done)
         mode = "append"
     tokens = tokenize(with_text(corpus)).select(*GROUP, "sample_idx", "id", "input_ids", "len")
-    write_subsets(tokens, target, compression=compression, mode=mode)
-    written = read_dataset(spark, target)
-    bad = uint16_violations(written).select("id").take(1)
-    if bad:
-        raise ValueError(f"sample {bad[0]['id']} has an id outside the 16-bit range")
-    stats = token_stats(written, by=list(GROUP))
+    write_subsets(require_uint16(tokens), target, compression=compression, mode=mode)
+    stats = token_stats(read_dataset(spark, target), by=list(GROUP))
     write_stats(stats, target.rstrip("/") + "_stats")
     return stats
 
@@ -101,9 +102,10 @@ def chunk_job(
         tokens = subset_filter(tokens, subset)
     chunks = chunk_dataset(tokens, cfg, keep=GROUP, reencode=reencode)
     write_subsets(chunks, target, compression=compression)
-    stats = chunk_stats(tokens, cfg, by=list(GROUP), reencode=reencode)
+    written = read_dataset(spark, target)
+    stats = written_chunk_stats(tokens, written, cfg, by=list(GROUP))
     write_stats(stats, target.rstrip("/") + "_stats")
-    percentiles = length_percentiles(read_dataset(spark, target), by=list(GROUP))
+    percentiles = length_percentiles(written, by=list(GROUP))
     write_stats(percentiles, target.rstrip("/") + "_percentiles")
     return stats
 
@@ -125,7 +127,7 @@ def sample_job(
     rows = chosen.select("input_ids", "len", "bin_label")
     codec = "uncompressed" if compression == "none" else compression
     rows.write.mode("overwrite").option("compression", codec).parquet(target)
-    stats = bin_stats(tokens, edges, k, seed=seed, key=key)
+    stats = bin_stats(tokens, edges, chosen=spark.read.parquet(target))
     write_stats(stats, target.rstrip("/") + "_stats")
     return stats
 

@@ -18,6 +18,7 @@ from sparkprep.operators.chunk import (
     chunk_stats,
     keep_long_samples,
     length_percentiles,
+    written_chunk_stats,
 )
 from sparkprep.operators.sample import (
     bin_stats,
@@ -212,6 +213,14 @@ def chunk_stats_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk_stats(tb.byte_tokens(spark, sf_dir), _CONFIGS["chunk_backfill_dup"])
 
 
+@query("chunk_stats_written", _stats_sql(_CONFIGS["chunk_backfill_dup"]))
+def chunk_stats_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From tokens and chunks that are tables on disk."""
+    cfg = _CONFIGS["chunk_backfill_dup"]
+    tokens = tb.stored(tb.byte_tokens(spark, sf_dir), "tokens")
+    return written_chunk_stats(tokens, tb.stored(chunk_dataset(tokens, cfg), "chunks"), cfg)
+
+
 @query("chunk_stats_drop", _stats_sql(BASE))
 def chunk_stats_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk_stats(tb.byte_tokens(spark, sf_dir), BASE)

@@ -83,8 +83,20 @@ def shard_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assign_shards(rows, F.col("nbytes"), SHARD_LIMIT)
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """Write a table to the shared folder and read it back: computed once, whatever reads it."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return build_manifest(shard_rows(spark, sf_dir).drop("text"), F.col("nbytes"))
+    """The shard table of all three datasets, from one pass over the texts."""
+    sizes = corpora(spark, sf_dir).select(
+        "dataset", "subset", "sample_idx", F.octet_length("text").alias("nbytes")
+    )
+    sharded = assign_shards(stored(sizes, "sizes"), F.col("nbytes"), SHARD_LIMIT)
+    return stored(build_manifest(sharded, F.col("nbytes")), "manifest")
 
 
 def word_vocab(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -105,7 +105,11 @@ def test_equals_brute_force(spark, part):
             dup, skip = dup + a, skip + b
         got = [(r.id, r.chunk_idx, tuple(r.input_ids)) for r in ck.chunk_dataset(df, cfg).collect()]
         assert sorted(got) == sorted(want), cfg
-        total = ck.chunk_stats(df, cfg).where("subset is null").first()
+        stats = ck.chunk_stats(df, cfg)
+        total = stats.where("subset is null").first()
+        assert total == ck.written_chunk_stats(df, ck.chunk_dataset(df, cfg), cfg).where(
+            "subset is null"
+        ).first()
         assert total.total_output_chunks == len(want)
         assert total.total_tokens_written == sum(len(w[2]) for w in want)
         assert (total.total_duplicated_tokens, total.total_tokens_skipped) == (dup, skip), cfg
