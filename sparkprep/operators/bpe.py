@@ -177,24 +177,31 @@ def _certain_merges(
 ) -> list[tuple[int, int, int]]:
     """The leading pairs that keep their rank whatever the merges before them do.
 
-    A merge changes only counts of pairs that share a symbol with it, and a pair
-    it creates is no more frequent than such a neighbour. So the walk goes down
-    to the first pair that touches an accepted symbol; accepted pairs counted
-    more often than that one are certain. A pair of equal symbols and a pair
-    that spells an existing token are taken alone.
+    Merging (a, b) changes only pairs that end in a or begin with b, and a pair
+    it creates is no more frequent than one of those was. So the walk goes down
+    to the first pair that ends in an accepted left symbol or begins with an
+    accepted right one; accepted pairs counted more often than that are certain.
+    A pair of equal symbols and a pair that spells an existing token are taken
+    alone. A truncated list ends at its last count: what is not listed is no
+    more frequent.
     """
     taken: list[tuple[int, int, int]] = []
-    used: set[int] = set()
+    lefts: set[int] = set()
+    rights: set[int] = set()
+    spelled: set[str] = set()
     stop = ranked[-1][2] if truncated else 0
     for a, b, n in ranked:
-        alone = a == b or tokens[a] + tokens[b] in ids
-        if taken and (alone or a in used or b in used):
+        token = tokens[a] + tokens[b]
+        alone = a == b or token in ids or token in spelled
+        if taken and (alone or b in lefts or a in rights):
             stop = n
             break
         taken.append((a, b, n))
         if alone:
             return taken
-        used |= {a, b}
+        lefts.add(a)
+        rights.add(b)
+        spelled.add(token)
     return taken[:1] + [t for t in taken[1:] if t[2] > stop]
 
 
