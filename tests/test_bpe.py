@@ -126,6 +126,15 @@ def test_encode_keeps_nulls(spark, learned):
     assert list(rows[1].ids) == codec.piece(" a") + codec.piece(" b")
 
 
+def test_long_pieces_equal_library(spark, lines, learned):
+    t = library(lines, 270, 64)
+    codec = bpe.codec_of(learned)
+    long = ["then" * 40, "e" * 333, "the" + "-" * 90, "in" * 16, "erth" * 8 + "e", " " * 200 + "x"]
+    df = spark.createDataFrame(list(enumerate(long)), "i int, text string").coalesce(2)
+    rows = df.select("i", bpe.encode("text", codec).alias("ids")).orderBy("i").collect()
+    assert [list(r.ids) for r in rows] == [t.encode(x).ids for x in long]
+
+
 def test_all_bytes_round_trip(spark, texts):
     counts = bpe.piece_counts(texts.where("doc_id < 50"))
     codec = bpe.codec_of(bpe.train_bpe(counts, vocab_size=270, alphabet="all"))
