@@ -80,7 +80,10 @@ def tokenize_job(
         corpus = pending_rows(corpus.join(open_subsets, list(GROUP), "left_semi"), done)
         mode = "append"
     tokens = tokenize(with_text(corpus)).select(*GROUP, "sample_idx", "id", "input_ids", "len")
-    write_subsets(require_uint16(tokens), target, compression=compression, mode=mode)
+    # Read from subset folders and not shuffled: the write moves no rows either.
+    write_subsets(
+        require_uint16(tokens), target, compression=compression, mode=mode, rebalance=False
+    )
     stats = token_stats(read_dataset(spark, target), by=list(GROUP))
     write_stats(stats, target.rstrip("/") + "_stats")
     return stats
@@ -101,7 +104,7 @@ def chunk_job(
     if subset is not None:
         tokens = subset_filter(tokens, subset)
     chunks = chunk_dataset(tokens, cfg, keep=GROUP, reencode=reencode)
-    write_subsets(chunks, target, compression=compression)
+    write_subsets(chunks, target, compression=compression, rebalance=False)
     written = read_dataset(spark, target)
     stats = written_chunk_stats(tokens, written, cfg, by=list(GROUP))
     write_stats(stats, target.rstrip("/") + "_stats")
@@ -172,7 +175,7 @@ def split_job(
     # decides whether the labels are broadcast to the scan or joined.
     labelled = spark.read.json(listing)
     parts = rows.join(labelled.select(*key, "split"), list(key)).drop("basename", "file_bytes")
-    write_subsets(parts, target, by=("split", *GROUP))
+    write_subsets(parts, target, by=("split", *GROUP), rebalance=False)
     return split_summary(labelled)
 
 

@@ -15,18 +15,21 @@ def write_subsets(
     compression: str = "zstd",
     mode: str = "overwrite",
     max_rows_per_file: int | None = None,
+    rebalance: bool = True,
 ) -> None:
     """Write Parquet below one folder per subset, replacing only subsets in ``df``.
 
     The rebalance hint lets Spark size the files: small subsets share a task,
-    and a subset with a third of all rows is cut over many tasks.
+    and a subset with a third of all rows is cut over many tasks. It is a
+    shuffle. A table that was read from subset folders and not shuffled since
+    has few subsets per task already and is written without it.
     """
     if compression not in ("zstd", "gzip", "none"):
         raise ValueError(f"unknown compression {compression!r}")
     codec = "uncompressed" if compression == "none" else compression
+    rows = df.hint("rebalance", *by) if rebalance else df
     writer = (
-        df.hint("rebalance", *by)
-        .write.mode(mode)
+        rows.write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", codec)
         .partitionBy(*by)
