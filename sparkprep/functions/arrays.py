@@ -36,7 +36,7 @@ def single_is_valid(ids: str | Column, cls_id: int, sep_id: int) -> Column:
     """First id is CLS and last is SEP."""
     c = _col(ids)
     return (F.size(c) >= 2) & (F.get(c, F.lit(0)) == cls_id) & (
-        F.element_at(c, -1) == sep_id
+        F.get(c, F.size(c) - 1) == sep_id
     )
 
 

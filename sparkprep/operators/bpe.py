@@ -121,11 +121,7 @@ def train_bpe(
         F.length("symbols") > 1
     )
     # The loop is bound by CPU, so it uses every core even when the table is small.
-    conf = counts.sparkSession.conf
-    width = max(
-        counts.sparkSession.sparkContext.defaultParallelism,
-        int(conf.get("spark.sql.shuffle.partitions")),
-    )
+    width = counts.sparkSession.sparkContext.defaultParallelism
     symbols = symbols.repartition(width, "symbols").checkpoint()
     rounds: list[DataFrame] = []
     while len(learned.tokens) < vocab_size:

@@ -99,7 +99,7 @@ def keep_long_samples(df: DataFrame, min_tokens: int, ids: str = "input_ids") ->
 
 def append_eos(ids: Column, eos_id: int) -> Column:
     """Close a non-empty sequence with EOS unless it already ends with it."""
-    missing = (F.size(ids) > 0) & (F.element_at(ids, -1) != eos_id)
+    missing = (F.size(ids) > 0) & (F.get(ids, F.size(ids) - 1) != eos_id)
     return F.when(missing, F.concat(ids, F.array(F.lit(eos_id)))).otherwise(ids)
 
 
