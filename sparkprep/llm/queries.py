@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from sparkprep.llm.linededup import dedup_lines
 from sparkprep.llm.quality import quality
+from sparkprep.llm.simhash import hex_fingerprint, near_duplicates
 from sparkprep.plans.registry import query
 
 
@@ -83,3 +85,64 @@ FROM m
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return judged.select("doc_id", "quality.*").drop("clean_text")
+
+
+# Runs of lines by brute force: every window forward and backward is spelled out as text.
+SQL_LINE_DEDUP = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, text FROM documents),
+l AS (
+  SELECT rid, doc_id, i - 1 AS i, trim(line, E' \t\n\x0b\x0c\r') AS line,
+         len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n
+  FROM (SELECT rid, doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS i
+        FROM (SELECT rid, doc_id, string_split(text, chr(10)) AS ls FROM d))
+),
+k AS (
+  SELECT *, row_number() OVER p AS r, sum(n) OVER p AS total
+  FROM l WHERE n > 0 WINDOW p AS (PARTITION BY rid ORDER BY i)
+),
+w AS (
+  SELECT a.rid, a.r AS r1, min(b.r) AS r2 FROM k a JOIN k b
+    ON a.rid = b.rid AND b.r BETWEEN a.r AND a.r + 49 AND b.total - a.total + a.n >= 50 GROUP BY ALL
+  UNION
+  SELECT b.rid, max(a.r), b.r FROM k a JOIN k b
+    ON a.rid = b.rid AND a.r BETWEEN b.r - 49 AND b.r AND b.total - a.total + a.n >= 50 GROUP BY b.rid, b.r
+),
+c AS (
+  SELECT w.rid, min(k.doc_id) AS doc_id, min(k.i) AS first, max(k.i) AS last,
+         string_agg(k.line, chr(10) ORDER BY k.r) AS content
+  FROM w JOIN k ON w.rid = k.rid AND k.r BETWEEN w.r1 AND w.r2 GROUP BY w.rid, w.r1, w.r2
+),
+late AS (
+  SELECT rid, first, last FROM c
+  QUALIFY row_number() OVER (PARTITION BY content ORDER BY doc_id NULLS LAST, rid, first) > 1
+),
+gone AS (SELECT DISTINCT rid, unnest(generate_series(first, last)) AS i FROM late),
+cut AS (SELECT rid, list(i ORDER BY i) AS removed FROM gone GROUP BY rid),
+kept AS (
+  SELECT rid, string_agg(line, chr(10) ORDER BY i) AS text
+  FROM (SELECT rid, unnest(ls) AS line, generate_subscripts(ls, 1) - 1 AS i
+        FROM (SELECT rid, string_split(text, chr(10)) AS ls FROM d))
+  WHERE (rid, i) NOT IN (SELECT rid, i FROM gone) GROUP BY rid
+)
+SELECT doc_id, coalesce(array_to_string(removed, ','), '') AS removed_lines,
+       coalesce(kept.text, CASE WHEN d.text IS NULL THEN NULL ELSE '' END) AS text,
+       len(coalesce(removed, []))::BIGINT AS n_removed
+FROM d LEFT JOIN cut USING (rid) LEFT JOIN kept USING (rid)
+"""
+
+
+@query("op1_line_dedup", SQL_LINE_DEDUP)
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return done.select(
+        "doc_id",
+        F.array_join("removed_lines", ",").alias("removed_lines"),
+        "text",
+        F.size("removed_lines").cast("bigint").alias("n_removed"),
+    )
+
+
+@query("op4_simhash_near_dedup")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id")
