@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sparkprep.llm.linededup import dedup_lines
+from sparkprep.llm.mixing import mix
 from sparkprep.llm.quality import quality
+from sparkprep.llm.sharding import LAW, assign_shards
 from sparkprep.llm.simhash import hex_fingerprint, near_duplicates
 from sparkprep.plans.registry import query
 
@@ -146,3 +148,75 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+@query("op2_stratified_shards")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return assign_shards(docs, 24).select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit(LAW).alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+# Targets by filling sources one round after another; order and positions by plain windows.
+SQL_MIX = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, source, md5('42:' || coalesce(doc_id::VARCHAR, '')) AS draw,
+         len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size
+  FROM documents
+),
+s AS (
+  SELECT source, sum(size)::BIGINT AS source_size,
+         [5.0, 2.0, 1.0][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3]::DOUBLE AS weight
+  FROM d GROUP BY source
+),
+f(step, source, source_size, weight, level) AS (
+  SELECT 0, source, source_size, weight, sum(source_size) OVER () / sum(weight) OVER () FROM s
+  UNION ALL
+  SELECT step + 1, source, source_size, weight,
+         (sum(source_size) OVER ()
+          - sum(CASE WHEN 3.0 * source_size <= level * weight THEN 3.0 * source_size ELSE 0 END) OVER ())
+         / nullif(sum(CASE WHEN 3.0 * source_size <= level * weight THEN 0 ELSE weight END) OVER (), 0)
+  FROM f WHERE step < 30 AND level IS NOT NULL
+),
+g AS (SELECT * FROM f WHERE step = (SELECT max(step) FROM f WHERE level IS NOT NULL) AND level IS NOT NULL),
+t AS (
+  SELECT source, source_size, least(3.0 * source_size, level * weight)::DOUBLE AS target,
+         0.5 * weight / 5.0 AS tilt FROM g
+),
+c AS (SELECT *, tilt - sum(tilt * target) OVER () / sum(target) OVER () AS slope FROM t),
+o AS (
+  SELECT d.*, source_size, target, slope,
+         coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY draw, doc_id
+                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before,
+         floor(target / greatest(source_size, 1)) AS whole
+  FROM d JOIN c ON d.source IS NOT DISTINCT FROM c.source
+),
+p AS (
+  SELECT *, CASE WHEN size = 0 THEN 0 ELSE
+    whole + CASE WHEN before + size / 2.0 <= target - whole * source_size THEN 1 ELSE 0 END END::INTEGER AS passes,
+    least((before + size / 2.0) / target, 1.0) AS part
+  FROM o
+)
+SELECT doc_id, size, source_size, target, passes, (passes * size)::BIGINT AS taken,
+       CASE WHEN passes > 0 THEN round(2.0 * part / ((1.0 - slope)
+         + sqrt((1.0 - slope) * (1.0 - slope) + 4.0 * slope * part)), 9) END AS first_position
+FROM p
+"""
+
+
+@query("op9_curriculum_mix", SQL_MIX)
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    first = F.round(F.get("positions", F.lit(0)), 9)
+    return (
+        mixed.withColumn("first_position", first)
+        .select("doc_id", "size", "source_size", "target", "passes", "taken", "first_position")
+        .orderBy("first_position", "doc_id")
+    )
