@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from sparkprep.llm.linededup import dedup_lines
 from sparkprep.llm.mixing import mix
 from sparkprep.llm.quality import quality
+from sparkprep.llm.secrets import digest_columns, scan
 from sparkprep.llm.sharding import LAW, assign_shards
 from sparkprep.llm.simhash import hex_fingerprint, near_duplicates
 from sparkprep.plans.registry import query
@@ -220,3 +221,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select("doc_id", "size", "source_size", "target", "passes", "taken", "first_position")
         .orderBy("first_position", "doc_id")
     )
+
+
+@query("op10_secret_scan")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digest_columns(scan(table(spark, sf_dir, "documents").select("doc_id", "text")))
