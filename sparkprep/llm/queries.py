@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from sparkprep.llm.bpe import decode, encode
 from sparkprep.llm.linededup import dedup_lines
 from sparkprep.llm.mixing import mix
 from sparkprep.llm.quality import quality
@@ -13,6 +14,13 @@ from sparkprep.llm.simhash import hex_fingerprint, near_duplicates
 from sparkprep.plans.registry import query
 
 
+def tokenizer_path() -> str:
+    """Where the public word-end BPE vocabulary lies."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -226,3 +234,19 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_secret_scan")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest_columns(scan(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
+@query("op7_transducer_bpe")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = tokenizer_path()
+    encoded = encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path)
+    written = encoded.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"),
+        "ids",
+    )
+    decoded = decode(written, path)
+    return decoded.select(
+        "doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256")
+    )
