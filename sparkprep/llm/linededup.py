@@ -18,8 +18,8 @@ Three steps, all on rows much smaller than the text:
 3. Lines in windows whose content has an earlier place are deleted.
 
 Counts and earliest places are combined before the shuffle, and what joins is
-stored first, so that Spark splits a hot content as any skewed join. Nothing is
-compared pairwise.
+stored first, so that Spark splits a hot content as any skewed join. Merge joins are
+asked for, because all sides grow with the corpus. Nothing is compared pairwise.
 
 Nulls and ties: a null text stays null. Documents that agree in id and text are
 one document, and share its outcome. A null id comes after all others.
@@ -130,7 +130,7 @@ def repeated_spans(
     shared = stored(
         found.groupBy("mark").agg(differs.alias("shared")).where("shared").select("mark"), "marks"
     )
-    matched = stored(found.join(shared, "mark", "left_semi").drop("mark", "place"), "matches")
+    matched = stored(found.join(shared.hint("merge"), "mark", "left_semi").drop("mark", "place"), "matches")
     order = F.struct(F.col("id").isNull().alias("late"), "id", "version", "first")
     earliest = stored(
         matched.groupBy("k1", "k2")
@@ -140,7 +140,7 @@ def repeated_spans(
         "earliest",
     )
     return (
-        matched.join(earliest, ["k1", "k2"])
+        matched.join(earliest.hint("merge"), ["k1", "k2"])
         .where(order > F.col("start"))
         .select("id", "version", "first", "last")
     )
@@ -169,7 +169,7 @@ def dedup_lines(
     same = F.col(doc_id).eqNullSafe(F.col("_id")) & (F.xxhash64(text) == F.col("_version"))
     none = F.array().cast("array<int>")
     return (
-        df.join(gone, same, "left")
+        df.join(gone.hint("merge"), same, "left")
         .withColumn(text, without_lines(F.col(text), F.col("_lines")))
         .withColumn(removed, F.coalesce("_lines", none))
         .drop("_id", "_version", "_lines")
