@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sparkprep.llm.bpe import decode, encode
+from sparkprep.llm.htmltext import extract_text
 from sparkprep.llm.linededup import dedup_lines
 from sparkprep.llm.mixing import mix
 from sparkprep.llm.quality import quality
@@ -250,3 +251,11 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decoded.select(
         "doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256")
     )
+
+
+@query("op5_tag_path_text")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = extract_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return pages.select(
+        "page_id", "url", "text", F.char_length("text").cast("bigint").alias("n_chars")
+    )
