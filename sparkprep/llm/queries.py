@@ -12,6 +12,7 @@ from sparkprep.llm.quality import quality
 from sparkprep.llm.secrets import digest_columns, scan
 from sparkprep.llm.sharding import LAW, assign_shards
 from sparkprep.llm.simhash import hex_fingerprint, near_duplicates
+from sparkprep.llm.warc import read_archives, write_archives
 from sparkprep.plans.registry import query
 
 
@@ -259,3 +260,25 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.select(
         "page_id", "url", "text", F.char_length("text").cast("bigint").alias("n_chars")
     )
+
+
+SQL_WARC = """
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, '')))::BIGINT AS payload_bytes,
+         sha1(coalesce(html, '')) AS payload_digest
+  FROM pages
+),
+o AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS owner FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND owner <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND owner <> page_id THEN owner END AS refers_to
+FROM o
+"""
+
+
+@query("op8_dictionary_warc", SQL_WARC)
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", F.col("html").alias("payload"))
+    return read_archives(write_archives(pages), with_payload=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
