@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sparkprep.llm.bpe import decode, encode
+from sparkprep.llm.embeddings import near_duplicates as near_vectors
 from sparkprep.llm.htmltext import extract_text
 from sparkprep.llm.linededup import dedup_lines
 from sparkprep.llm.mixing import mix
@@ -282,3 +283,8 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_archives(write_archives(pages), with_payload=False).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
     )
+
+
+@query("op6_projection_forest")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"))
