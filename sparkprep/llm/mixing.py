@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from sparkprep.functions.draws import draw_hex
 from sparkprep.llm.common import SPACE, stored
-from sparkprep.llm.ranks import BLOCK_ROWS, block_count, running_total, uniform
+from sparkprep.llm.ranks import block_count, running_total, uniform
 
 SEED = 42
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -100,7 +100,7 @@ def mix(
     weights: tuple[float, ...] = WEIGHTS,
     max_epochs: int = MAX_EPOCHS,
     slope: float = SLOPE,
-    block_rows: int = BLOCK_ROWS,
+    blocks: int | None = None,
 ) -> DataFrame:
     """``doc_id, source, version, size, source_size, target, passes, taken, positions`` per row.
 
@@ -125,7 +125,7 @@ def mix(
         F.col("size"),
         unit="_unit",
         order=["_draw", "doc_id", "version"],
-        blocks=block_count(slim.count(), block_rows),
+        blocks=blocks or block_count(slim.count()),
         within=["source"],
         before="_before",
     )

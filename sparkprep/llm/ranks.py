@@ -1,9 +1,9 @@
 """Exact positions in a seeded order, with no group in one task.
 
-A uniform number in [0, 1) orders the rows. It also cuts them into blocks of a
-bounded expected size, as many as the table needs; the rows before a block are
-a window over one small row per block, and only rows of one block are sorted
-together.
+A uniform number in [0, 1) orders the rows. It also cuts them into blocks: about the
+square root of the number of rows, so that a block and the list of all blocks both
+stay small. The rows before a block are a window over one small row per block, and only
+rows of one block are sorted together.
 """
 
 from __future__ import annotations
@@ -13,7 +13,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-BLOCK_ROWS = 20_000
 _DIGITS = 13  # hex digits that a double holds exactly
 
 
@@ -22,9 +21,9 @@ def uniform(draw: str) -> Column:
     return F.conv(F.substring(draw, 1, _DIGITS), 16, 10).cast("bigint") / F.lit(float(16**_DIGITS))
 
 
-def block_count(rows: int, block_rows: int = BLOCK_ROWS) -> int:
+def block_count(rows: int) -> int:
     """How many blocks a table of this size is cut into."""
-    return max(1, math.ceil(rows / block_rows))
+    return max(1, math.isqrt(rows))
 
 
 def running_total(

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from sparkprep.functions.draws import draw_hex
 from sparkprep.llm.common import stored
-from sparkprep.llm.ranks import BLOCK_ROWS, block_count, running_total, uniform
+from sparkprep.llm.ranks import block_count, running_total, uniform
 
 SEED = 42
 LAW = "rows"
@@ -37,7 +37,7 @@ def assign_shards(
     text: str = "text",
     source: str = "source",
     seed: int = SEED,
-    block_rows: int = BLOCK_ROWS,
+    blocks: int | None = None,
 ) -> DataFrame:
     """``doc_id, source, version, size, text_crc32, shard, slot`` for every row.
 
@@ -61,7 +61,7 @@ def assign_shards(
             "doc_id", "source", "version", "size", "text_crc32",
             F.lit(0).alias("shard"), F.lit(0).cast("bigint").alias("slot"),
         )
-    blocks = block_count(rows, block_rows)
+    blocks = blocks or block_count(rows)
     ranked = running_total(
         slim.withColumn("_unit", uniform("_draw")),
         F.lit(1),
