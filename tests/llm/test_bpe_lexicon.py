@@ -65,8 +65,8 @@ def test_lexicon_finds_its_words_and_no_others(tmp_path):
     rng = random.Random(1)
     words = sorted({bytes(rng.choice(b"abcd") for _ in range(rng.randrange(1, 8))) for _ in range(800)})
     known, unknown = words[::2], words[1::2]
-    lexicon.build(known, [[i, i + 1] for i in range(len(known))], str(tmp_path))
-    lex = lexicon.Lexicon(str(tmp_path))
+    lexicon.build(known, [[i, i + 1] for i in range(len(known))], str(tmp_path / "words"))
+    lex = lexicon.Lexicon(str(tmp_path / "words"))
     assert lex.ranks(known).tolist() == list(range(len(known)))
     assert set(lex.ranks([*unknown, b"", b"zzz", b"a" * 50]).tolist()) == {-1}
     assert lex.ids[lex.starts[7] : lex.starts[8]].tolist() == [7, 8]
@@ -75,8 +75,8 @@ def test_lexicon_finds_its_words_and_no_others(tmp_path):
 
 
 def test_empty_lexicon(tmp_path):
-    lexicon.build([], [], str(tmp_path))
-    assert lexicon.Lexicon(str(tmp_path)).ranks([b"a"]).tolist() == [-1]
+    lexicon.build([], [], str(tmp_path / "words"))
+    assert lexicon.Lexicon(str(tmp_path / "words")).ranks([b"a"]).tolist() == [-1]
 
 
 def test_query_equals_library(spark, library):
