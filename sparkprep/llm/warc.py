@@ -191,10 +191,14 @@ def plan_records(df: DataFrame, min_revisit_bytes: int = MIN_REVISIT_BYTES) -> D
 def sample_dictionary(df: DataFrame) -> bytes:
     """A dictionary from a bounded sample of the records of ``page_id, url, payload``."""
     body = F.coalesce(F.col("payload"), F.lit(""))
+    draw = F.xxhash64("page_id", "url")
+    # A hash keeps about twice the records needed, so no task returns more than its part.
+    share = min(1.0, 2.0 * SAMPLE_RECORDS / max(1, df.count()))
     rows = (
         df.where(F.octet_length(body) <= SAMPLE_BYTES)
+        .where(F.pmod(draw, F.lit(1 << 30)) < int(share * (1 << 30)))
         .select("page_id", "url", body.alias("payload"))
-        .orderBy(F.xxhash64("page_id", "url"), "page_id", "url", "payload")
+        .orderBy(draw, "page_id", "url", "payload")
         .limit(SAMPLE_RECORDS)
         .collect()
     )
