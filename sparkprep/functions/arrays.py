@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, functions as F
 
@@ -64,3 +64,8 @@ def preview(ids: str | Column, max_display: int = 50) -> Column:
 
 def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """Bind a value to a name, so that lambdas inside ``body`` do not compute it again."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))

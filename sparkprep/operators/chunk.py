@@ -2,8 +2,8 @@
 
 Only the last piece of a document can be shorter than the window, and only it
 and the piece before it interact, so every chunk follows from the document
-length by arithmetic. A document becomes one row per window by exploding a
-sequence of window numbers in place; the array work happens in projections
+length by arithmetic. A document becomes one row per window by exploding the
+slices of its windows in place; the other array work happens in projections
 after that, so nothing is shuffled and nothing loops over a document.
 """
 
@@ -14,6 +14,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from sparkprep.functions.arrays import let
 from sparkprep.functions.draws import draw_int
 
 NO_BACKFILL = "none"
@@ -202,20 +203,27 @@ def chunk_windows(
         | F.when(i == F.col("n_windows") - 1, F.col("keep_tail")).otherwise(F.col("keep_full")),
     )
     explode = F.explode_outer if keep_empty else F.explode
-    rows = planned.withColumn("window_idx", explode(wanted))
-
-    i, n = F.col("window_idx"), F.col("n_windows")
-    is_tail = F.col("fill") & (i == n - 1)
-    # With "move", the window before the tail gives ids away and shrinks.
-    gives = F.col("fill") & (i == n - 2) & F.lit(cfg.backfill == MOVE)
-    start = F.when(is_tail, i - 1).otherwise(i) * F.lit(b) + 1
-    rows = rows.select(
-        "*",
-        is_tail.alias("_is_tail"),
-        gives.alias("_gives"),
-        F.slice("tokens", start, F.lit(b)).alias("_base"),
-        F.when(is_tail, F.slice("tokens", i * F.lit(b) + 1, F.lit(b))).alias("_own"),
-    ).drop("tokens")
+    n = F.col("n_windows")
+
+    # Each window takes its slices before the explode, so that a row carries its own
+    # ids and not the document's: the work is linear in the document.
+    def window(tokens: Column, i: Column) -> Column:
+        is_tail = F.col("fill") & (i == n - 1)
+        # With "move", the window before the tail gives ids away and shrinks.
+        gives = F.col("fill") & (i == n - 2) & F.lit(cfg.backfill == MOVE)
+        start = F.when(is_tail, i - 1).otherwise(i) * F.lit(b) + 1
+        return F.struct(
+            i.alias("window_idx"),
+            is_tail.alias("_is_tail"),
+            gives.alias("_gives"),
+            F.slice(tokens, start, F.lit(b)).alias("_base"),
+            F.when(is_tail, F.slice(tokens, i * F.lit(b) + 1, F.lit(b))).alias("_own"),
+        )
+
+    cut = let(F.col("tokens"), lambda t: F.transform(wanted, lambda i: window(t, i)))
+    kept = [c for c in planned.columns if c != "tokens"]
+    rows = planned.select(*kept, explode(cut).alias("_window")).select(*kept, "_window.*")
+    i = F.col("window_idx")
     if reencode:
         rows = _reencoded(rows, "_base", cfg, reencode)
 
