@@ -10,7 +10,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from sparkprep.llm import lexicon
-from sparkprep.llm.bpe import Encoder, Merges, decode, encode
+from sparkprep.llm.bpe import Encoder, Merges, decode, encode, frequent_words
 from sparkprep.llm.queries import op7
 
 SF = "/root/testdata/sf0.01"
@@ -91,6 +91,11 @@ def test_query_equals_library(spark, library):
     assert got == want
 
 
+def test_frequent_words_fit_the_bound(spark):
+    df = spark.createDataFrame([("a " * 9 + "b " * 7 + "c c d d e",)], "text string")
+    assert [sorted(frequent_words(df, "text", n)) for n in (0, 1, 3, 4)] == [[], ["a"], ["a", "b"], ["a", "b", "c", "d"]]
+
+
 def test_odd_tables(spark, library):
     rows = [(None, None, 5), (1, "", 6), (1, "the the", 7), (1, "the the", 7), (2, "ab " * 200_000, 8)]
     df = spark.createDataFrame(rows, "doc_id bigint, text string, ids int")
