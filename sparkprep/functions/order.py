@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from sparkprep.functions.draws import draw_hex
+from sparkprep.functions.groups import join_null_safe
 
 BLOCK_ROWS = 65_536
 _HEX_DIGITS = 3
@@ -44,9 +45,9 @@ def prefix_sum(
         .select(*keys, F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_start"))
     )
     inside = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    summed = blocked.withColumn("_inside", F.sum(value).over(inside))
     return (
-        blocked.withColumn("_inside", F.sum(value).over(inside))
-        .join(starts, keys)
+        join_null_safe(summed, starts, keys)
         .withColumn(out, F.col("_start") + F.col("_inside"))
         .drop("_block", "_inside", "_start")
     )
@@ -98,11 +99,11 @@ def shuffled_rank(
     if groups is not None and groups * HASH_BLOCKS <= MAX_BROADCAST_BLOCKS:
         starts = F.broadcast(starts)
     inside = Window.partitionBy(*keys).orderBy("_draw", *key)
-    ranked = (
-        drawn.join(starts, keys)
-        .withColumn("_inside", F.row_number().over(inside))
-        .withColumn(rank, (F.col("_start") + F.col("_inside")).cast("bigint"))
-    )
+    ranked = join_null_safe(drawn, starts, keys).withColumn("_inside", F.row_number().over(inside))
+    if limit is not None:
+        # Lets every task keep only so many rows of a block before the rows are shuffled.
+        ranked = ranked.where(F.col("_inside") <= limit)
+    ranked = ranked.withColumn(rank, (F.col("_start") + F.col("_inside")).cast("bigint"))
     if limit is not None:
         ranked = ranked.where(F.col(rank) <= limit)
     if total:

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from sparkprep.functions.groups import join_null_safe
 from sparkprep.functions.order import shuffled_rank
 
 
@@ -45,10 +46,12 @@ def binned(df: DataFrame, edges: Sequence[int]) -> DataFrame:
 
 
 def chosen_per_bin(
-    df: DataFrame, edges: Sequence[int], k: int = 500, *, seed: int = 42, key: Sequence[str] = ("id",)
+    df: DataFrame, edges: Sequence[int], k: int = 500, *, seed: int = 42, key: Sequence[str]
 ) -> DataFrame:
     """The keys of a uniform sample of ``k`` rows per bin, without replacement.
 
+    ``key`` must be unique in the table: over several datasets, ids alone are not.
+
     Reads the key and the length only; token arrays are not touched.
     """
     keys = binned(df, edges).select(*key, "len", "bin_label")
@@ -69,7 +72,7 @@ def sample_per_bin(
     k: int = 500,
     *,
     seed: int = 42,
-    key: Sequence[str] = ("id",),
+    key: Sequence[str],
     columns: Sequence[str] = ("input_ids",),
     broadcast_rows: int = 1_000_000,
 ) -> DataFrame:
@@ -82,7 +85,7 @@ def sample_per_bin(
     if k * (len(edges) - 1) <= broadcast_rows:
         chosen = F.broadcast(chosen)
     rows = df.select(*key, *columns)
-    return rows.join(chosen, list(key)).select(*key, *columns, "len", "bin_label")
+    return join_null_safe(rows, chosen, key).select(*key, *columns, "len", "bin_label")
 
 
 def bin_stats(
@@ -91,24 +94,36 @@ def bin_stats(
     k: int = 500,
     *,
     seed: int = 42,
-    key: Sequence[str] = ("id",),
+    key: Sequence[str] = (),
     chosen: DataFrame | None = None,
 ) -> DataFrame:
-    """Per bin: rows in it, rows collected (at most ``k``) and their sorted lengths.
+    """Per bin, empty ones too: rows in it, rows collected (at most ``k``) and their sorted lengths.
 
-    ``chosen`` may be a sample that was already drawn and written.
+    ``chosen`` may be a sample that was already drawn and written; without it ``key``
+    is needed. ``total_size_bytes`` is what the collected ids take at 16 bits each.
     """
+    labels = [f"({lower},{upper}]" for lower, upper in zip(edges, edges[1:])]
+    bins = df.sparkSession.createDataFrame([(x,) for x in labels], "bin_label string")
     totals = binned(df, edges).groupBy("bin_label").agg(F.count("*").alias("total"))
     if chosen is None:
         chosen = chosen_per_bin(df, edges, k, seed=seed, key=key)
     collected = chosen.groupBy("bin_label").agg(
         F.count("*").alias("collected"), F.sort_array(F.collect_list("len")).alias("lengths")
     )
-    return totals.join(collected, "bin_label")
+    nothing = F.array().cast("array<int>")
+    both = bins.join(totals, "bin_label", "left").join(collected, "bin_label", "left")
+    lengths = F.coalesce("lengths", nothing)
+    size = F.aggregate(lengths, F.lit(0).cast("bigint"), lambda a, x: a + 2 * x)
+    return both.select(
+        "bin_label",
+        *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in ("total", "collected")],
+        lengths.alias("lengths"),
+        size.alias("total_size_bytes"),
+    )
 
 
 def take_per_dataset(
-    df: DataFrame, n: int, *, seed: int = 42, key: Sequence[str] = ("id",), datasets: int | None = None
+    df: DataFrame, n: int, *, seed: int = 42, key: Sequence[str], datasets: int | None = None
 ) -> DataFrame:
     """The keys of the first ``n`` rows of each dataset in a seeded shuffle."""
     return shuffled_rank(

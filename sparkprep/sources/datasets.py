@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Row, SparkSession, Window, functions as F, types as T
 
 from sparkprep.functions.draws import draw_hex
+from sparkprep.functions.groups import NO_SUBSET
 from sparkprep.functions.order import BLOCK_ROWS
 
 # Fixed value: a subset folder is three digits, an underscore and five digits.
@@ -21,11 +22,19 @@ SUBSET_PATTERN = r"^\d{3}_\d{5}$"
 def read_dataset(spark: SparkSession, path: str, dataset: str | None = None) -> DataFrame:
     """A Parquet dataset laid out as ``[dataset=..../]subset=.../``.
 
-    A dataset without subset folders is read whole, as one unnamed subset.
+    A dataset without subset folders is read whole, as one subset named ``NO_SUBSET``.
+    Folder names are strings, whatever they look like: ``007`` stays ``007``.
     """
     df = spark.read.parquet(path)
+    names = [f for f in df.schema if f.name in ("dataset", "subset")]
+    if any(not isinstance(f.dataType, T.StringType) for f in names):
+        fields = [
+            T.StructField(f.name, T.StringType()) if f.name in ("dataset", "subset") else f
+            for f in df.schema
+        ]
+        df = spark.read.schema(T.StructType(fields)).parquet(path)
     if "subset" not in df.columns:
-        df = df.withColumn("subset", F.lit(None).cast("string"))
+        df = df.withColumn("subset", F.lit(NO_SUBSET))
     if dataset is not None:
         df = df.withColumn("dataset", F.lit(dataset))
     return df

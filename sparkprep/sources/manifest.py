@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
+from sparkprep.functions.groups import join_null_safe, rollup_sums
 from sparkprep.functions.order import prefix_sum
 from sparkprep.sources.datasets import SUBSET_PATTERN
 
@@ -97,6 +98,10 @@ def assign_shards(
 ) -> DataFrame:
     """Add ``shard_id``: a new shard begins whenever ``limit`` bytes are full.
 
+    Shards are cut at multiples of the limit on the running total: one may exceed
+    it by less than a sample, and a sample above the limit leaves a number out. Cutting
+    before the limit is passed would make each cut depend on all cuts before it.
+
     The running total is per subset in sample order and is built from block
     totals, so one large subset is not summed in one task.
     """
@@ -139,20 +144,27 @@ def file_manifest(rows: DataFrame) -> DataFrame:
     )
 
 
-def shard_fingerprints(df: DataFrame, *columns: str) -> DataFrame:
-    """Per shard: row count and an order-independent 64-bit fingerprint."""
-    word = F.conv(F.substring(F.md5(F.concat_ws("\u0001", *columns)), 1, 15), 16, 10)
+def row_fingerprint(*columns: str) -> Column:
+    """60 bits of a row. With its place in the row, equal rows differ; null is not empty."""
+    parts = [F.coalesce(F.col(c).cast("string"), F.lit("\u0000")) for c in columns]
+    digest = F.md5(F.concat_ws("\u0001", *parts))
+    return F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint")
+
+
+def shard_fingerprints(df: DataFrame, row: str = "row_fingerprint") -> DataFrame:
+    """Per shard: row count and a fingerprint of its rows, from one number per row.
+
+    The numbers are taken before rows are placed in shards, so no text is shuffled.
+    """
     return df.groupBy("dataset", "subset", "shard_id").agg(
-        F.count("*").alias("samples"), F.bit_xor(word.cast("bigint")).alias("fingerprint")
+        F.count("*").alias("samples"), F.bit_xor(row).alias("fingerprint")
     )
 
 
 def count_samples(manifest: DataFrame) -> DataFrame:
     """Shards and samples per subset, per dataset (null subset) and in all (nulls)."""
-    return manifest.rollup("dataset", "subset").agg(
-        F.count("*").alias("shards"),
-        F.coalesce(F.sum("samples"), F.lit(0)).cast("bigint").alias("samples"),
-    )
+    counters = {"shards": F.count("*"), "samples": F.sum("samples")}
+    return rollup_sums(manifest, ["dataset", "subset"], counters)
 
 
 def is_compressed(manifest: DataFrame) -> DataFrame:
@@ -230,7 +242,8 @@ def with_sample_ranges(manifest: DataFrame) -> DataFrame:
     )
     summed = prefix_sum(
         manifest, F.col("samples"), within=["dataset", "subset"], order="shard_id", out="_cum"
-    ).join(starts, ["dataset", "subset"])
+    )
+    summed = join_null_safe(summed, starts, ["dataset", "subset"])
     end = (F.col("_start") + F.col("_cum")).cast("bigint")
     return (
         summed.withColumn("end_index", end)

@@ -10,6 +10,8 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from sparkprep.functions.groups import join_null_safe
+
 CORPUS_SCHEMA = T.StructType(
     [
         T.StructField("dataset", T.StringType()),
@@ -37,7 +39,7 @@ def resume_status(
         .when(done > 0, "possibly_corrupt")
         .otherwise("new")
     )
-    return expected.join(state, list(key), "left").select(
+    return join_null_safe(expected, state, key, "left").select(
         *key, "samples", done.alias("samples_processed"), status.alias("status")
     )
 
@@ -47,7 +49,7 @@ def output_state(
 ) -> DataFrame:
     """The state of an output as its rows show it: a subset with every sample is finished."""
     written = output.groupBy(*key).agg(F.count("*").alias("samples_processed"))
-    return written.join(expected, list(key)).select(
+    return join_null_safe(written, expected, key).select(
         *key, "samples_processed", (F.col("samples_processed") == F.col("samples")).alias("has_stats")
     )
 
@@ -61,7 +63,7 @@ def pending_rows(
     df: DataFrame, output: DataFrame, key: Sequence[str] = ("dataset", "subset", "id")
 ) -> DataFrame:
     """Rows that the output does not have yet: an anti join on unique row keys."""
-    return df.join(output.select(*key), list(key), "left_anti")
+    return join_null_safe(df, output.select(*key), key, "left_anti")
 
 
 def run_incremental(

@@ -98,7 +98,7 @@ def test_dataset_without_subsets(spark, tmp_path):
     path = str(tmp_path / "flat")
     make(spark).drop("subset", "dataset").write.parquet(path)
     df = ds.read_dataset(spark, path, "flat")
-    assert df.where("subset is null and dataset = 'flat'").count() == 100
+    assert df.where("subset = 'unnamed' and dataset = 'flat'").count() == 100
 
 
 def test_read_jsonl(spark, tmp_path):
@@ -262,13 +262,13 @@ def test_length_falls_back_to_the_ids(spark):
 def test_sample_sizes_and_uniform_choice(spark, k):
     rows = [(str(i), [1] * (1 + i % 2 * 10)) for i in range(3)] + [(str(i), [1] * 30) for i in range(3, 60)]
     df = spark.createDataFrame(rows, "id string, input_ids array<int>").withColumn("len", F.size("input_ids"))
-    got = sm.sample_per_bin(df, [0, 5, 20, 40], k, seed=1)
+    got = sm.sample_per_bin(df, [0, 5, 20, 40], k, seed=1, key=["id"])
     counts = {r.bin_label: r["count"] for r in got.groupBy("bin_label").count().collect()}
     assert counts == {"(0,5]": min(k, 2), "(5,20]": 1, "(20,40]": k}
     want = sorted((str(i) for i in range(3, 60)), key=lambda i: digest(1, i))[:k]
     assert sorted(r.id for r in got.where("len = 30").collect()) == sorted(want)
     stats = {r.bin_label: (r.total, r.collected, r.lengths) for r in
-             sm.bin_stats(df, [0, 5, 20, 40], k, seed=1).collect()}
+             sm.bin_stats(df, [0, 5, 20, 40], k, seed=1, key=["id"]).collect()}
     assert stats["(20,40]"] == (57, k, [30] * k)
 
 
@@ -276,7 +276,7 @@ def test_every_row_is_equally_likely(spark):
     df = make(spark, 40).select("dataset", "id")
     hits = {}
     for seed in range(60):
-        for r in sm.take_per_dataset(df, 10, seed=seed, datasets=1).collect():
+        for r in sm.take_per_dataset(df, 10, seed=seed, key=["id"], datasets=1).collect():
             hits[r.id] = hits.get(r.id, 0) + 1
         if seed == 24:
             break
@@ -431,3 +431,18 @@ def test_failures_are_kept_apart(spark):
         inc.require_no_failures(status)
     with pytest.raises(Exception, match="tab in text"):
         tokenize_with(df, CodePointTokenizer).collect()
+
+
+def test_a_sample_keeps_few_rows_before_the_shuffle(spark):
+    df = make(spark, 40).select("dataset", "id")
+    plan = sm.take_per_dataset(df, 10, key=["id"], datasets=1)._jdf.queryExecution().toString()
+    assert "WindowGroupLimit" in plan
+
+
+def test_empty_bins_and_null_subsets(spark):
+    rows = [(None, str(i), [1] * 3) for i in range(9)]
+    df = spark.createDataFrame(rows, "subset string, id string, input_ids array<int>")
+    key = ["subset", "id"]
+    stats = {r.bin_label: (r.total, r.collected) for r in sm.bin_stats(df, [0, 2, 5], 4, key=key).collect()}
+    assert stats == {"(0,2]": (0, 0), "(2,5]": (9, 4)}
+    assert sm.sample_per_bin(df, [0, 2, 5], 4, key=key).count() == 4
