@@ -11,16 +11,20 @@ from __future__ import annotations
 
 import hashlib
 import heapq
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from sparkprep.functions.arrays import let
 from sparkprep.functions.text import pre_tokenize, with_prefix_space
 from sparkprep.operators.vocab import SPECIAL_TOKENS, bounded_rows
-from sparkprep.session import shared_dir
+from sparkprep.session import drop_scratch, written
+
+PIECES_PER_TASK = 65_536
 
 _FIRST_CODE = 0x100
 _SURROGATES = 0xD800, 0x800
@@ -74,13 +78,17 @@ def piece_counts(texts: DataFrame, text: str = "text") -> DataFrame:
 
 def pair_counts(symbols: DataFrame, column: str = "symbols", n: str = "n") -> DataFrame:
     """``pair, n``: adjacent symbol pairs, one character per symbol, weighted."""
-    places = symbols.select(
-        F.col(column).alias("_s"), F.col(n).alias("_n"), F.posexplode(F.split(column, ""))
+    # Characters beside characters, so a piece is walked once whatever its length.
+    adjacent = let(
+        F.split(column, ""),
+        lambda c: F.zip_with(
+            F.slice(c, F.lit(1), F.size(c) - 1),
+            F.slice(c, F.lit(2), F.size(c) - 1),
+            lambda left, right: F.concat(left, right),
+        ),
     )
-    pairs = places.select(
-        F.substring("_s", F.col("pos") + 1, F.lit(2)).alias("pair"), "_n"
-    ).where(F.length("pair") == 2)
-    return pairs.groupBy("pair").agg(F.sum("_n").alias("n"))
+    pairs = symbols.select(F.col(n).alias("_n"), F.explode(adjacent).alias("pair"))
+    return pairs.where(F.length("pair") == 2).groupBy("pair").agg(F.sum("_n").alias("n"))
 
 
 def train_bpe(
@@ -103,7 +111,6 @@ def train_bpe(
     ``alphabet='seen'`` starts from the bytes of the corpus, ``'all'`` from all
     256, with which every text can be encoded without loss.
     """
-    shared_dir(counts.sparkSession)
     latin = F.decode(F.col("piece").cast("binary"), "ISO-8859-1")
     if alphabet == "all":
         seen = list(range(256))
@@ -120,9 +127,12 @@ def train_bpe(
     symbols = counts.select(F.translate(latin, source, target).alias("symbols"), "n").where(
         F.length("symbols") > 1
     )
-    # The loop is bound by CPU, so it uses every core even when the table is small.
-    width = counts.sparkSession.sparkContext.defaultParallelism
-    symbols = symbols.repartition(width, "symbols").checkpoint()
+    # The loop is bound by CPU, so it uses every core even when the table is small, and
+    # more tasks than cores when it is large.
+    spark = counts.sparkSession
+    symbols, path = written(symbols, "pieces")
+    width = max(spark.sparkContext.defaultParallelism, symbols.count() // PIECES_PER_TASK)
+    symbols = symbols.repartition(width, "symbols").persist()
     rounds: list[DataFrame] = []
     while len(learned.tokens) < vocab_size:
         pairs = pair_counts(symbols)
@@ -156,15 +166,19 @@ def train_bpe(
         older, symbols = symbols, symbols.select(replaced.alias("symbols"), "n").persist()
         learned.rounds += 1
         if learned.rounds % checkpoint_rounds == 0:
-            # A piece that has become one token can take no further merge.
-            kept = symbols.where(F.length("symbols") > 1).checkpoint()
+            # A piece that has become one token can take no further merge. The table
+            # written before is not needed any more.
+            kept, newer = written(symbols.where(F.length("symbols") > 1), "pieces")
             symbols.unpersist()
-            symbols = kept
+            symbols = kept.repartition(width, "symbols").persist()
+            drop_scratch(spark, path)
+            path = newer
         rounds.append(older)
         if len(rounds) > 1:
             rounds.pop(0).unpersist()
     for older in (*rounds, symbols):
         older.unpersist()
+    drop_scratch(spark, path)
     return learned
 
 
@@ -312,10 +326,17 @@ class BpeCodec:
 def load_codec(
     vocab: DataFrame, merges: DataFrame, added: Sequence[str] = ()
 ) -> BpeCodec:
-    """A codec from the vocabulary and merge tables; their size is checked first."""
+    """A codec from the vocabulary and merge tables; their size is checked first.
+
+    Tokens that the vocabulary marks as ``added`` (runs of spaces) are matched whole,
+    as are those listed in ``added``.
+    """
     rows, ranked = bounded_rows(vocab), bounded_rows(merges)
     if rows is None or ranked is None:
         raise ValueError("a vocabulary of more than 65,536 entries does not fit 16-bit ids")
+    if "added" in vocab.columns:
+        marked = [r["token"] for r in rows if r["added"]]
+        added = [*added, *(t for t in marked if t not in added)]
     tokens = [""] * (max(r["id"] for r in rows) + 1)
     for r in rows:
         tokens[r["id"]] = r["token"]
@@ -390,11 +411,17 @@ def encode(text: str | Column, codec: BpeCodec) -> Column:
 def decode(ids: str | Column, codec: BpeCodec) -> Column:
     """The text of token ids; bytes that are no UTF-8 become replacement characters."""
 
+    raw = pa.array(codec.raw, pa.binary())
+
     @F.arrow_udf(T.StringType())
     def text_of(batch: pa.Array) -> pa.Array:
-        return pa.array(
-            [None if x is None else codec.text(x) for x in _id_lists(batch)], pa.string()
-        )
+        flat = _lists(np.asarray(batch.offsets), raw.take(batch.values), batch)
+        joined = pc.binary_join(flat, b"")
+        try:
+            return joined.cast(pa.string())
+        except pa.ArrowInvalid:  # some bytes are no UTF-8
+            texts = [None if x is None else x.decode("utf-8", "replace") for x in joined.to_pylist()]
+            return pa.array(texts, pa.string())
 
     return text_of.asNondeterministic()(F.col(ids) if isinstance(ids, str) else ids)
 
@@ -445,11 +472,3 @@ def space_consistency(words: DataFrame, codec: BpeCodec, word: str = "word") ->
 def _lists(offsets: np.ndarray, values: pa.Array, like: pa.Array) -> pa.Array:
     mask = like.is_null() if like.null_count else None
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values, mask=mask)
-
-
-def _id_lists(batch: pa.Array) -> Iterator[np.ndarray | None]:
-    offsets = np.asarray(batch.offsets)
-    values = np.asarray(batch.values)
-    nulls = np.asarray(batch.is_null())
-    for i in range(len(batch)):
-        yield None if nulls[i] else values[offsets[i] : offsets[i + 1]]

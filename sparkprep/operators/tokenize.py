@@ -15,6 +15,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from sparkprep.functions.arrays import fits_uint16, template_single
+from sparkprep.functions.groups import rollup_sums
 from sparkprep.functions.text import byte_ids, nfc, words
 from sparkprep.operators.bpe import BpeCodec, encode
 from sparkprep.operators.vocab import bounded_rows
@@ -39,16 +40,17 @@ def tokenize_words(
     *,
     unk_id: int,
     text: str = "text",
-    key: Sequence[str] = ("id",),
 ) -> DataFrame:
     """One id per word by lookup, ``unk_id`` for unknown words.
 
+    A null text has null ids. Of a token that is listed twice the smaller id counts.
     A vocabulary that fits 16-bit ids goes to the tasks and words are looked up
     in Arrow batches. A larger one is joined instead.
     """
     rows = bounded_rows(vocab.select("token", "id"))
     if rows is None:
-        return tokenize_words_joined(df, vocab, unk_id=unk_id, text=text, key=key)
+        return tokenize_words_joined(df, vocab, unk_id=unk_id, text=text)
+    rows.sort(key=lambda r: r["id"])  # the first of equal tokens is found
     tokens = pa.array([r["token"] for r in rows], pa.string())
     ids = np.array([r["id"] for r in rows] + [unk_id], dtype=np.int32)
 
@@ -73,27 +75,32 @@ def tokenize_words_joined(
     *,
     unk_id: int,
     text: str = "text",
-    key: Sequence[str] = ("id",),
     salts: int = 16,
 ) -> DataFrame:
     """The same by a join, for a vocabulary of any size.
 
-    A frequent word is spread over ``salts`` copies of its vocabulary row. The
-    words of one document meet again in one group, which is one row's worth.
+    Ids depend on the text alone, so each distinct text is looked up once, under
+    128 bits of its hashes, and no row key is needed. A frequent word is spread over
+    ``salts`` copies of its vocabulary row. The words of one text meet again in one
+    group, which is one row's worth.
     """
-    placed = df.select(*key, F.posexplode(words(text)).alias("_pos", "token")).withColumn(
+    key = ["_text_1", "_text_2"]
+    df = df.withColumns({"_text_1": F.xxhash64(text), "_text_2": F.xxhash64(F.lit(1), text)})
+    texts = df.where(F.col(text).isNotNull()).select(*key, text).dropDuplicates(key)
+    placed = texts.select(*key, F.posexplode(words(text)).alias("_pos", "token")).withColumn(
         "_salt", F.pmod(F.xxhash64(*key, "_pos"), F.lit(salts)).cast("int")
     )
-    copies = vocab.select("token", F.col("id").alias("_id")).withColumn(
+    copies = vocab.groupBy("token").agg(F.min("id").alias("_id")).withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
     )
     looked = placed.join(copies, ["token", "_salt"], "left").select(
         *key, F.struct("_pos", F.coalesce("_id", F.lit(unk_id)).alias("_id")).alias("_at")
     )
     lists = looked.groupBy(*key).agg(F.sort_array(F.collect_list("_at")).alias("_list"))
-    ids = F.coalesce(F.col("_list._id"), F.array().cast("array<int>"))
-    joined = df.join(lists, list(key), "left")
-    return _with_len(joined.withColumn("input_ids", ids).drop("_list"))
+    found = F.coalesce(F.col("_list._id"), F.array().cast("array<int>"))
+    ids = F.when(F.col(text).isNotNull(), found)
+    joined = df.join(lists, key, "left")
+    return _with_len(joined.withColumn("input_ids", ids).drop("_list", *key))
 
 
 def tokenize_bpe(
@@ -179,10 +186,8 @@ def require_uint16(df: DataFrame, ids: str = "input_ids") -> DataFrame:
 
 def token_stats(df: DataFrame, *, by: Sequence[str] = ("subset",), length: str = "len") -> DataFrame:
     """``num_tokens, num_samples`` per group and overall (null group)."""
-    return df.rollup(*by).agg(
-        F.coalesce(F.sum(length), F.lit(0)).cast("bigint").alias("num_tokens"),
-        F.count("*").alias("num_samples"),
-    )
+    counters = {"num_tokens": F.sum(length), "num_samples": F.count("*")}
+    return rollup_sums(df, by, counters)
 
 
 def _with_len(df: DataFrame) -> DataFrame:

@@ -6,13 +6,13 @@ A vocabulary has at most 65,536 entries (ids are stored as 16-bit numbers), and
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Row, Window, functions as F
 
 from sparkprep.functions.arrays import UINT16_LIMIT
 
-# Special tokens and their ids 0..4, in this order.
+# Special tokens and their ids 0..4, in this order.
 SPECIAL_TOKENS = ("[CLS]", "[MASK]", "[PAD]", "[SEP]", "[UNK]")
 # Candidates for the opening and the closing token, best first.
 BOS_CANDIDATES = ("[CLS]", "[BOS]", "<s>")
@@ -58,28 +58,42 @@ def word_vocabulary(counts: DataFrame, size: int, word: str = "word", n: str = "
 
 
 def add_space_tokens(vocab: DataFrame, max_spaces: int) -> DataFrame:
-    """Append tokens of 2..``max_spaces`` spaces with the next free ids."""
-    lengths = F.explode(F.sequence(F.lit(2), F.lit(max_spaces)))
+    """Append tokens of 2..``max_spaces`` spaces with the next free ids.
+
+    They are marked as ``added``: an encoder takes them whole, before any merge.
+    """
+    marked = vocab if "added" in vocab.columns else vocab.withColumn("added", F.lit(False))
     if max_spaces < 2:
-        return vocab
-    runs = _size(vocab).select(F.col("size"), lengths.alias("i")).select(
-        F.repeat(F.lit(" "), F.col("i")).alias("token"),
-        (F.col("size") + F.col("i") - 2).cast("int").alias("id"),
-        F.lit(False).alias("special"),
+        return marked
+    return _extended(
+        marked,
+        lambda size: F.transform(
+            F.sequence(F.lit(2), F.lit(max_spaces)),
+            lambda i: F.struct(
+                F.repeat(F.lit(" "), i), (size + i - 2).cast("int"), F.lit(False), F.lit(True)
+            ),
+        ),
     )
-    return vocab.unionByName(runs)
 
 
 def pad_vocabulary(vocab: DataFrame, multiple: int = 64, num_unused: int = 0) -> DataFrame:
     """Append ``[unused1..k]``: ``num_unused`` of them, or up to the next multiple."""
-    k = F.lit(num_unused) if num_unused > 0 else F.pmod(-F.col("size"), F.lit(multiple))
-    numbers = F.explode(F.when(k > 0, F.sequence(F.lit(1).cast("bigint"), k.cast("bigint"))))
-    unused = _size(vocab).select(F.col("size"), numbers.alias("i")).select(
-        F.concat(F.lit("[unused"), F.col("i").cast("string"), F.lit("]")).alias("token"),
-        (F.col("size") + F.col("i") - 1).cast("int").alias("id"),
-        F.lit(True).alias("special"),
-    )
-    return vocab.unionByName(unused)
+    added = [F.lit(False)] if "added" in vocab.columns else []
+
+    def unused(size: Column) -> Column:
+        k = F.lit(num_unused) if num_unused > 0 else F.pmod(-size, F.lit(multiple))
+        numbers = F.slice(F.sequence(F.lit(1), k + 1), F.lit(1), k)  # none if k is 0
+        return F.transform(
+            numbers,
+            lambda i: F.struct(
+                F.concat(F.lit("[unused"), i.cast("string"), F.lit("]")),
+                (size + i - 1).cast("int"),
+                F.lit(True),
+                *added,
+            ),
+        )
+
+    return _extended(vocab, unused)
 
 
 def padded_size(size: int, multiple: int = 64, parallel: int = 1) -> int:
@@ -118,6 +132,14 @@ def bounded_rows(table: DataFrame, limit: int = UINT16_LIMIT) -> list[Row] | Non
     return None if len(rows) > limit else rows
 
 
-def _size(vocab: DataFrame) -> DataFrame:
-    return vocab.agg(F.count("*").alias("size"))
+def _extended(vocab: DataFrame, more: Callable[[Column], Column]) -> DataFrame:
+    """The vocabulary and rows that depend on its size, in one pass over what makes it.
+
+    ``more`` gives an array of structs in the order of ``token, id, special[, added]``.
+    """
+    columns = [c for c in ("token", "id", "special", "added") if c in vocab.columns]
+    one = vocab.agg(F.collect_list(F.struct(*columns)).alias("rows"))  # 65,536 rows at most
+    kind = one.schema["rows"].dataType.simpleString()
+    rows = F.concat("rows", more(F.size("rows")).cast(kind))
+    return one.select(F.explode(rows).alias("row")).select("row.*")
 

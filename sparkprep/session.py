@@ -59,6 +59,19 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return os.path.join(shared_dir(spark), f"{label}-{uuid.uuid4().hex}")
 
 
+def written(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """Write a table to a new path in the shared folder; the table read back, and the path."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def drop_scratch(spark: SparkSession, path: str) -> None:
+    """Delete a table that ``written`` made and nothing reads any more."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 _SHIPPED: set[str] = set()
 
 
