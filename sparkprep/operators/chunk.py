@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from sparkprep.functions.arrays import let
 from sparkprep.functions.draws import draw_int
+from sparkprep.functions.groups import named, rollup_sums
 
 NO_BACKFILL = "none"
 DUPLICATE = "duplicate"
@@ -325,17 +326,15 @@ def chunk_stats(
     rows = chunk_windows(source, cfg, key=key, ids=ids, keep_empty=True, reencode=reencode)
     whole = F.when(F.col("_short"), 0)
 
-    def total(c: Column) -> Column:
-        return F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
-
-    return rows.rollup(*by).agg(
-        total(whole.otherwise(F.col("input_samples"))).alias("total_input_samples"),
-        F.count("chunk_idx").alias("total_output_chunks"),
-        total(F.when(F.col("chunk_idx").isNotNull(), F.col("len"))).alias("total_tokens_written"),
-        total(F.col("duplicated_tokens")).alias("total_duplicated_tokens"),
-        total(whole.otherwise(F.col("skipped_tokens"))).alias("total_tokens_skipped"),
-        total(F.col("_short").cast("int")).alias("total_samples_skipped_by_length"),
-    )
+    counters = {
+        "total_input_samples": F.sum(whole.otherwise(F.col("input_samples"))),
+        "total_output_chunks": F.count("chunk_idx"),
+        "total_tokens_written": F.sum(F.when(F.col("chunk_idx").isNotNull(), F.col("len"))),
+        "total_duplicated_tokens": F.sum("duplicated_tokens"),
+        "total_tokens_skipped": F.sum(whole.otherwise(F.col("skipped_tokens"))),
+        "total_samples_skipped_by_length": F.sum(F.col("_short").cast("int")),
+    }
+    return rollup_sums(rows, by, counters)
 
 
 def written_chunk_stats(
@@ -349,7 +348,7 @@ def written_chunk_stats(
     size = sample_size(tokens)
     long = size >= cfg.min_sample_tokens
     lost = F.when(long, size).otherwise(0) if cfg.window <= 0 else F.lit(0)
-    inputs = tokens.groupBy(*by).agg(
+    inputs = tokens.groupBy(*named(tokens, by)).agg(
         F.count_if(long).alias("total_input_samples"),
         F.lit(0).cast("bigint").alias("total_output_chunks"),
         F.lit(0).cast("bigint").alias("total_tokens_written"),
@@ -357,7 +356,7 @@ def written_chunk_stats(
         F.sum(lost).cast("bigint").alias("total_tokens_skipped"),
         F.count_if(~long).alias("total_samples_skipped_by_length"),
     )
-    outputs = chunks.groupBy(*by).agg(
+    outputs = chunks.groupBy(*named(chunks, by)).agg(
         F.lit(0).cast("bigint").alias("total_input_samples"),
         F.count("*").alias("total_output_chunks"),
         F.sum("len").cast("bigint").alias("total_tokens_written"),

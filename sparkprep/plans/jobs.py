@@ -5,8 +5,11 @@ from __future__ import annotations
 import os
 from collections.abc import Callable, Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from sparkprep.functions.groups import join_null_safe, rollup_sums
+
 from sparkprep.operators.bpe import Merges, piece_counts, train_bpe
 from sparkprep.operators.chunk import (
     ChunkConfig,
@@ -27,8 +30,18 @@ from sparkprep.functions.text import nfc
 from sparkprep.sources.datasets import read_dataset, subset_filter, union_datasets, with_text
 from sparkprep.sources.manifest import file_manifest, with_file_shards
 from sparkprep.sources.sinks import renumbered, write_manifest, write_stats, write_subsets
-from sparkprep.streaming.incremental import output_state, pending_rows, resume_status
+from sparkprep.session import written
+from sparkprep.streaming.incremental import (
+    failure_status,
+    good_rows,
+    output_state,
+    pending_rows,
+    quarantine,
+    resume_status,
+)
 
+# Labels of some two million files; beyond it they are joined by a shuffle.
+LABEL_BYTES = 256 << 20
 GROUP = ("dataset", "subset")
 
 
@@ -66,26 +79,52 @@ def tokenize_job(
     """Tokenize a dataset folder; returns the statistics of what the output then holds.
 
     With ``resume`` finished subsets and rows already written stay as they are
-    and only missing rows are added.
+    and only missing rows are added; a subset with more rows than it should have is
+    written again. Rows that a tokenizer with ``errors="record"`` rejects are not
+    written: they go to ``<target>_failures``, with counts per subset in
+    ``<target>_status``, and a later resume tries them again.
     """
-    corpus = read_dataset(spark, source)
+    corpus = with_text(_with_dataset(read_dataset(spark, source), source))
     if subset is not None:
         corpus = subset_filter(corpus, subset)
-    mode = "overwrite"
+    base = target.rstrip("/")
+
+    def run(rows: DataFrame, mode: str) -> None:
+        tokens = tokenize(rows)
+        isolated = "error" in tokens.columns
+        if isolated:
+            # Good rows and rejected ones are two writes of one pass.
+            tokens = tokens.persist(StorageLevel.DISK_ONLY)
+        kept = good_rows(tokens) if isolated else tokens
+        # Read from subset folders and not shuffled: the write moves no rows either.
+        write_subsets(
+            require_uint16(kept.select(*GROUP, "sample_idx", "id", "input_ids", "len")),
+            target,
+            compression=compression,
+            mode=mode,
+            rebalance=False,
+        )
+        if isolated:
+            quarantine(tokens).write.mode("append").parquet(base + "_failures")
+            failure_status(tokens).write.mode("append").json(base + "_status")
+            tokens.unpersist()
+
     if resume and _exists(spark, target):
         done = read_dataset(spark, target)
         expected = corpus.groupBy(*GROUP).agg(F.count("*").alias("samples"))
-        status = resume_status(expected, output_state(expected, done))
-        open_subsets = status.where(F.col("status") != "complete").select(*GROUP)
-        corpus = pending_rows(corpus.join(open_subsets, list(GROUP), "left_semi"), done)
-        mode = "append"
-    tokens = tokenize(with_text(corpus)).select(*GROUP, "sample_idx", "id", "input_ids", "len")
-    # Read from subset folders and not shuffled: the write moves no rows either.
-    write_subsets(
-        require_uint16(tokens), target, compression=compression, mode=mode, rebalance=False
-    )
+        status, _ = written(resume_status(expected, output_state(expected, done)), "status")
+        broken = status.where(F.col("status") == "possibly_corrupt").select(*GROUP)
+        if broken.take(1):
+            run(join_null_safe(corpus, broken, GROUP, "left_semi"), "overwrite")
+        unfinished = status.where(F.col("status").isin("resumable", "new")).select(*GROUP)
+        rows = join_null_safe(corpus, unfinished, GROUP, "left_semi")
+        # Read anew: files of a subset written again are not those listed before.
+        run(pending_rows(rows, read_dataset(spark, target), (*GROUP, "id")), "append")
+    else:
+        run(corpus, "overwrite")
     stats = token_stats(read_dataset(spark, target), by=list(GROUP))
-    write_stats(stats, target.rstrip("/") + "_stats")
+    stats = _with_output_size(spark, stats, target)
+    write_stats(stats, base + "_stats")
     return stats
 
 
@@ -96,20 +135,41 @@ def chunk_job(
     cfg: ChunkConfig,
     *,
     subset: str | None = None,
+    resume: bool = False,
     compression: str = "zstd",
     reencode: Callable[[DataFrame, str], DataFrame] | None = None,
 ) -> DataFrame:
-    """Cut a tokenized dataset into chunks; returns the counters."""
-    tokens = read_dataset(spark, source)
-    if subset is not None:
-        tokens = subset_filter(tokens, subset)
-    chunks = chunk_dataset(tokens, cfg, keep=GROUP, reencode=reencode)
+    """Cut a tokenized dataset into chunks; returns the counters of what the target then holds.
+
+    With ``resume`` subsets that the statistics of an earlier run list are finished and
+    stay. Statistics are written last, so a subset without them was interrupted and
+    is cut again from the start.
+    """
+    base = target.rstrip("/")
+    everything = _with_dataset(read_dataset(spark, source), source)
+    tokens = everything if subset is None else subset_filter(everything, subset)
+    finished = None
+    if _exists(spark, target) and _exists(spark, base + "_stats", "json"):
+        groups = ", ".join(f"{c} string" for c in GROUP)
+        listed = spark.read.schema(groups).json(base + "_stats")
+        finished, _ = written(listed.where(" and ".join(f"{c} is not null" for c in GROUP)), "finished")
+    todo = tokens
+    if resume and finished is not None:
+        todo = join_null_safe(tokens, finished, GROUP, "left_anti")
+    chunks = chunk_dataset(todo, cfg, keep=GROUP, reencode=reencode)
     write_subsets(chunks, target, compression=compression, rebalance=False)
-    written = read_dataset(spark, target)
-    stats = written_chunk_stats(tokens, written, cfg, by=list(GROUP))
-    write_stats(stats, target.rstrip("/") + "_stats")
-    percentiles = length_percentiles(written, by=list(GROUP))
-    write_stats(percentiles, target.rstrip("/") + "_percentiles")
+    # Inputs and outputs of the same subsets: those cut now and those finished before.
+    counted = tokens.select(*GROUP)
+    if finished is not None:
+        counted = counted.union(finished.select(*GROUP))
+    counted, _ = written(counted.distinct(), "counted")
+    cut = join_null_safe(read_dataset(spark, target), counted, GROUP, "left_semi")
+    inputs = join_null_safe(everything, counted, GROUP, "left_semi")
+    stats = written_chunk_stats(inputs, cut, cfg, by=list(GROUP))
+    stats = _with_output_size(spark, stats, target)
+    percentiles = length_percentiles(cut, by=list(GROUP))
+    write_stats(percentiles, base + "_percentiles")
+    write_stats(stats, base + "_stats")
     return stats
 
 
@@ -124,7 +184,7 @@ def sample_job(
     compression: str = "zstd",
 ) -> DataFrame:
     """Sample k sequences per length bin; returns the statistics per bin."""
-    tokens = read_dataset(spark, source)
+    tokens = _with_dataset(read_dataset(spark, source), source)
     key = (*GROUP, "id")
     chosen = sample_per_bin(tokens, edges, k, seed=seed, key=key)
     rows = chosen.select("input_ids", "len", "bin_label")
@@ -153,7 +213,9 @@ def split_job(
     an error.
     """
     present = [p for p in sources if _exists(spark, p)]
-    rows = union_datasets([with_file_shards(read_dataset(spark, p)) for p in present])
+    rows = union_datasets(
+        [with_file_shards(_with_dataset(read_dataset(spark, p), p)) for p in present]
+    )
     manifest = file_manifest(rows)
     key = (*GROUP, "basename")
     if small_only:
@@ -171,18 +233,37 @@ def split_job(
         )
     listing = target.rstrip("/") + "_manifest"
     write_manifest(renumbered(labelled, "position"), listing)
-    # Written once and read back: a small table whose size Spark knows, which
-    # decides whether the labels are broadcast to the scan or joined.
-    labelled = spark.read.json(listing)
-    parts = rows.join(labelled.select(*key, "split"), list(key)).drop("basename", "file_bytes")
+    # Written once and read back, so that labels are not drawn again for each use.
+    labelled = spark.read.schema(labelled.schema).json(listing)
+    labels = labelled.select(*key, "split")
+    # A label per file is small beside the files. It is sent to the scan while it is
+    # below a fixed size, so that rows are labelled where they are read.
+    size = labels.agg(F.sum(F.lit(64) + sum(F.length(c) for c in labels.columns))).first()[0]
+    if (size or 0) <= LABEL_BYTES:
+        labels = F.broadcast(labels)
+    parts = join_null_safe(rows, labels, key).drop("basename", "file_bytes")
     write_subsets(parts, target, by=("split", *GROUP), rebalance=False)
     return split_summary(labelled)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    """Is there a readable Parquet dataset?"""
+def _with_dataset(df: DataFrame, path: str) -> DataFrame:
+    """Name the dataset after its folder where the layout does not name it."""
+    if "dataset" in df.columns:
+        return df
+    return df.withColumn("dataset", F.lit(os.path.basename(path.rstrip("/"))))
+
+
+def _with_output_size(spark: SparkSession, stats: DataFrame, target: str) -> DataFrame:
+    """Add ``output_samples`` and ``output_size`` (bytes of the files), with the totals."""
+    files = file_manifest(with_file_shards(read_dataset(spark, target)))
+    counters = {"output_samples": F.sum("samples"), "output_size": F.sum("bytes")}
+    return join_null_safe(stats, rollup_sums(files, GROUP, counters), GROUP, "left")
+
+
+def _exists(spark: SparkSession, path: str, fmt: str = "parquet") -> bool:
+    """Is there a readable dataset?"""
     try:
-        return bool(spark.read.parquet(path).columns)
+        return bool(spark.read.format(fmt).load(path).columns)
     except Exception as problem:
         if "PATH_NOT_FOUND" in str(problem) or "UNABLE_TO_INFER_SCHEMA" in str(problem):
             return False

@@ -6,6 +6,7 @@ from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from sparkprep.functions.arrays import drop_ids
 from sparkprep.operators import bpe
 from sparkprep.operators.chunk import (
     DUPLICATE,
@@ -248,15 +249,37 @@ def chunk_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return length_percentiles(chunks)
 
 
-@query("prefix_space")
+_SPACED = replace(BASE, backfill=MOVE)
+
+
+@query(
+    "prefix_space",
+    f"""WITH {tb.SQL_BPE},
+    sizes AS (SELECT piece, length(symbols) AS n FROM step WHERE k = {tb.BPE_MERGES}),
+    lengths AS (SELECT id, sum(n) AS n FROM pieces JOIN sizes USING (piece) GROUP BY id),
+    cut AS (SELECT id, w, n - (w - 1) * {_SPACED.window} AS tail FROM (
+              SELECT id, n, CAST(ceil(n / {_SPACED.window}.0) AS BIGINT) AS w FROM (
+                SELECT id, n + {int(_SPACED.add_eos)} AS n FROM lengths WHERE n >= {_SPACED.min_sample_tokens})))
+    SELECT subset, CAST(sum(1 + greatest(w - 2, 0)
+             + CASE WHEN w > 1 AND tail >= {_SPACED.skip_size} THEN 1 ELSE 0 END) AS BIGINT) AS chunks,
+           CAST(0 AS BIGINT) AS not_spaced, CAST(0 AS BIGINT) AS too_long
+    FROM cut JOIN docs USING (id) GROUP BY subset""",
+)
 def prefix_space(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Chunks of learned tokens that all open with a space."""
+    """Chunks of learned tokens all open with a space, and there are as many as without."""
     cls, sep = chunk_special_ids(tb.trained(spark, sf_dir)[0])
     codec = tb.codec(spark, sf_dir)
     tokens = tokenize_bpe(tb.documents(spark, sf_dir), codec)
     cfg = replace(BASE, bos_id=cls, eos_id=sep, backfill=MOVE)
     rows = chunk_dataset(tokens, cfg, reencode=bpe.prefix_space_step(codec))
-    return rows.select("id", "chunk_idx", "len", ids_md5("input_ids").alias("ids_md5"))
+    inside = drop_ids("input_ids", [cls, sep])
+    text = bpe.decode(inside, codec)
+    opened = rows.select("subset", "len", text.startswith(" ").alias("spaced"))
+    return opened.groupBy("subset").agg(
+        F.count("*").alias("chunks"),
+        F.count_if(~F.col("spaced")).alias("not_spaced"),
+        F.count_if(F.col("len") > cfg.chunk_size).alias("too_long"),
+    )
 
 
 _BINS = f"""WITH {tb.SQL_DOCUMENTS},
@@ -287,7 +310,8 @@ def length_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM drawn d JOIN tok ON tok.id = d.id WHERE draw_rank <= {PER_BIN}""",
 )
 def sample_per_bin_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = sample_per_bin(tb.byte_tokens(spark, sf_dir), EDGES, PER_BIN, seed=tb.SEED)
+    tokens = tb.byte_tokens(spark, sf_dir)
+    rows = sample_per_bin(tokens, EDGES, PER_BIN, seed=tb.SEED, key=["id"])
     return rows.select("id", "len", "bin_label", ids_md5("input_ids").alias("ids_md5"))
 
 
@@ -295,11 +319,15 @@ def sample_per_bin_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     "bin_stats",
     f"""{_BINS}
     SELECT bin_label, count(*) AS total, count(*) FILTER (WHERE draw_rank <= {PER_BIN}) AS collected,
-           array_to_string(list(len ORDER BY len) FILTER (WHERE draw_rank <= {PER_BIN}), ',') AS lengths
-    FROM drawn GROUP BY bin_label""",
+           array_to_string(list(len ORDER BY len) FILTER (WHERE draw_rank <= {PER_BIN}), ',') AS lengths,
+           CAST(2 * sum(len) FILTER (WHERE draw_rank <= {PER_BIN}) AS BIGINT) AS total_size_bytes
+    FROM drawn GROUP BY bin_label
+    UNION ALL SELECT '(-1,0]', 0, 0, '', 0""",
 )
 def bin_stats_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stats = bin_stats(tb.byte_tokens(spark, sf_dir), EDGES, PER_BIN, seed=tb.SEED)
+    """With a first bin that is empty: a sequence has at least its CLS and SEP."""
+    edges = [-1, *EDGES]
+    stats = bin_stats(tb.byte_tokens(spark, sf_dir), edges, PER_BIN, seed=tb.SEED, key=["id"])
     return stats.withColumn("lengths", F.array_join(F.col("lengths").cast("array<string>"), ","))
 
 
@@ -313,4 +341,5 @@ def bin_stats_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT * FROM drawn WHERE draw_rank <= 100""",
 )
 def take_n_per_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return take_per_dataset(tb.corpora(spark, sf_dir), 100, seed=tb.SEED, datasets=3)
+    rows = tb.corpora(spark, sf_dir)
+    return take_per_dataset(rows, 100, seed=tb.SEED, key=["id"], datasets=3)

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sparkprep.functions.order import shuffled_rank
 from sparkprep.operators import split as sp
-from sparkprep.operators.tokenize import token_stats, tokenize_bytes
-from sparkprep.plans import tables as tb
+from sparkprep.operators.tokenize import token_stats, tokenize_bytes, tokenize_with
+from sparkprep.plans import jobs, tables as tb
 from sparkprep.plans.registry import query
 from sparkprep.session import scratch_path
 from sparkprep.sources import datasets as ds, manifest as mf, sinks
@@ -107,11 +107,19 @@ def shard_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     "shard_fingerprint",
     f"""WITH {tb.SQL_SHARDS}
     SELECT dataset, subset, shard_id, count(*) AS samples,
-           bit_xor(CAST('0x' || substr(md5(id || chr(1) || text), 1, 15) AS BIGINT)) AS fingerprint
+           bit_xor(CAST('0x' || substr(md5(sample_idx || chr(1) || id || chr(1) || text), 1, 15) AS BIGINT))
+             AS fingerprint
     FROM shard_rows GROUP BY ALL""",
 )
 def shard_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mf.shard_fingerprints(tb.shard_rows(spark, sf_dir), "id", "text")
+    rows = tb.corpora(spark, sf_dir).select(
+        "dataset",
+        "subset",
+        "sample_idx",
+        F.octet_length("text").alias("nbytes"),
+        mf.row_fingerprint("sample_idx", "id", "text").alias("row_fingerprint"),
+    )
+    return mf.shard_fingerprints(mf.assign_shards(rows, F.col("nbytes"), tb.SHARD_LIMIT))
 
 
 @query(
@@ -169,12 +177,20 @@ def write_subsets(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "verify_structure",
     f"""WITH {tb.SQL_CORPORA}
-    SELECT dataset, true AS valid, count(DISTINCT subset) AS total_subsets,
-           count(*) AS total_samples, CAST(0 AS BIGINT) AS issues FROM corpora GROUP BY dataset""",
+    SELECT dataset, dataset <> 'documents' AS valid, count(DISTINCT subset) AS total_subsets,
+           count(*) AS total_samples,
+           CASE WHEN dataset = 'documents' THEN count(DISTINCT subset) ELSE 0 END AS issues
+    FROM corpora GROUP BY dataset""",
 )
 def verify_structure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The manifest of one dataset names a file per subset that the folder does not hold."""
     path, manifest = _written(spark, sf_dir)
-    return mf.verify_structure(manifest, _listing(spark, path)).drop("total_shards")
+    lost = manifest.where(F.col("dataset") == "documents").select(
+        "dataset", "subset", F.concat(F.lit("lost-"), "subset").alias("basename"),
+        F.lit(0).cast("bigint").alias("samples"), F.lit(0).cast("bigint").alias("bytes"),
+    ).distinct()
+    listed = manifest.unionByName(lost)
+    return mf.verify_structure(listed, _listing(spark, path)).drop("total_shards")
 
 
 @query(
@@ -346,8 +362,13 @@ def split_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def split_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     labelled = sp.with_small(_split(spark, sf_dir))
-    rows = sp.rows_of_split(tb.shard_rows(spark, sf_dir), labelled, "val")
-    return rows.select("dataset", "id", F.md5("text").alias("text_md5"))
+    # The digest of a text travels to its shard, the text does not.
+    rows = tb.corpora(spark, sf_dir).select(
+        "dataset", "subset", "sample_idx", "id",
+        F.octet_length("text").alias("nbytes"), F.md5("text").alias("text_md5"),
+    )
+    placed = mf.assign_shards(rows, F.col("nbytes"), tb.SHARD_LIMIT)
+    return sp.rows_of_split(placed, labelled, "val").select("dataset", "id", "text_md5")
 
 
 @query(
@@ -379,12 +400,20 @@ def merged_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ---- incremental runs --------------------------------------------------------
-# `labels` names the documents an earlier run has finished.
+# `labels` names the documents an earlier run has finished. A source's name decides what that
+# run left of it: everything, the labelled documents, nothing, or everything twice.
 
 _DONE = f"""WITH {tb.SQL_DOCUMENTS},
-    expected AS (SELECT dataset, source AS subset, count(*) AS samples FROM docs GROUP BY ALL),
-    done AS (SELECT d.dataset, d.source AS subset, count(*) AS p FROM docs d JOIN labels l ON l.doc_id = d.sample_idx
-             WHERE l.quality = 1 GROUP BY ALL)"""
+    expected AS (SELECT dataset, source AS subset, count(*) AS samples,
+                 CAST('0x' || substr(md5(source), 1, 1) AS INTEGER) % 4 AS pick FROM docs GROUP BY ALL),
+    labelled AS (SELECT d.dataset, d.source AS subset, count(*) AS n FROM docs d
+                 JOIN labels l ON l.doc_id = d.sample_idx WHERE l.quality = 1 GROUP BY ALL),
+    state AS (SELECT dataset, subset, samples,
+              CASE pick WHEN 0 THEN samples WHEN 1 THEN coalesce(n, 0) WHEN 3 THEN 2 * samples ELSE 0 END AS p
+              FROM expected LEFT JOIN labelled USING (dataset, subset)),
+    judged AS (SELECT dataset, subset, samples, CAST(p AS BIGINT) AS samples_processed,
+               CASE WHEN p = samples THEN 'complete' WHEN p > samples THEN 'possibly_corrupt'
+                    WHEN p > 0 THEN 'resumable' ELSE 'new' END AS status FROM state)"""
 
 
 def _finished(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -394,26 +423,23 @@ def _finished(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "resume_status",
-    f"""{_DONE}
-    SELECT dataset, e.subset, samples, CAST(coalesce(p, 0) AS BIGINT) AS samples_processed,
-           CASE WHEN p = samples THEN 'complete' WHEN p > 0 THEN 'resumable' ELSE 'new' END AS status
-    FROM expected e LEFT JOIN done USING (dataset, subset)""",
+    f"{_DONE} SELECT * FROM judged",
 )
 def resume_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = tb.languages(spark, sf_dir).select(
         F.lit("documents").alias("dataset"), F.col("dataset").alias("subset"), "id"
     )
     expected = docs.groupBy("dataset", "subset").agg(F.count("*").alias("samples"))
-    output = docs.join(_finished(spark, sf_dir), "id", "left_semi")
+    pick = F.conv(F.substring(F.md5("subset"), 1, 1), 16, 10).cast("int") % 4
+    labelled = docs.where(pick == 1).join(_finished(spark, sf_dir), "id", "left_semi")
+    twice = docs.where(pick == 3)
+    output = docs.where(pick == 0).union(labelled.select(docs.columns)).union(twice).union(twice)
     return inc.resume_status(expected, inc.output_state(expected, output))
 
 
 @query(
     "resume_summary",
-    f"""{_DONE}
-    SELECT CASE WHEN p = samples THEN 'complete' WHEN p > 0 THEN 'resumable' ELSE 'new' END AS status,
-           count(*) AS subsets
-    FROM expected e LEFT JOIN done USING (dataset, subset) GROUP BY 1""",
+    f"{_DONE} SELECT status, count(*) AS subsets FROM judged GROUP BY status",
 )
 def resume_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inc.status_summary(resume_status(spark, sf_dir))
@@ -470,3 +496,108 @@ def stats_sinks(spark: SparkSession, sf_dir: str) -> DataFrame:
     as_json = spark.read.schema(stats.schema).json(os.path.join(base, "json"))
     as_csv = spark.read.schema(stats.schema).option("header", "true").csv(os.path.join(base, "csv"))
     return as_json.intersectAll(as_csv)
+
+
+# ---- whole jobs --------------------------------------------------------------
+
+
+def _plain(spark: SparkSession, sf_dir: str) -> str:
+    """The documents as a dataset without subset folders; its folder is named ``root``."""
+    path = os.path.join(scratch_path(spark, "plain"), "root")
+    tb.documents(spark, sf_dir).select("sample_idx", "id", "text").write.parquet(path)
+    return path
+
+
+def _half_tokenized(spark: SparkSession, source: str) -> str:
+    """Tokens of every second sample, as an interrupted run leaves them."""
+    target = scratch_path(spark, "tokens")
+    rows = ds.read_dataset(spark, source, "root").where("sample_idx % 2 = 0")
+    tokens = tokenize_bytes(rows).select("dataset", "subset", "sample_idx", "id", "input_ids", "len")
+    sinks.write_subsets(tokens, target)
+    return target
+
+
+@query(
+    "root_level_tokenize",
+    f"""WITH {tb.SQL_DOCUMENTS}, plain AS (SELECT 'root' AS dataset, 'unnamed' AS subset, text FROM docs)
+    SELECT dataset, subset, CAST(sum(strlen(text)) AS BIGINT) AS num_tokens, count(*) AS num_samples,
+           count(*) AS output_samples
+    FROM plain GROUP BY ROLLUP (dataset, subset)""",
+)
+def root_level_tokenize(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A dataset without subsets, tokenized half and then resumed."""
+    source = _plain(spark, sf_dir)
+    target = _half_tokenized(spark, source)
+    stats = jobs.tokenize_job(spark, source, target, tokenize_bytes, resume=True)
+    return stats.drop("output_size")
+
+
+@query(
+    "root_level_shards",
+    f"""WITH {tb.SQL_DOCUMENTS},
+    placed AS (SELECT strlen(text) AS n, CAST(floor((greatest(sum(strlen(text)) OVER (ORDER BY sample_idx), 1)
+               - 1) / {tb.SHARD_LIMIT}) AS BIGINT) AS shard_id FROM docs)
+    SELECT shard_id, count(*) AS samples, CAST(sum(n) AS BIGINT) AS bytes FROM placed GROUP BY shard_id""",
+)
+def root_level_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shards of rows whose subset is null."""
+    rows = tb.documents(spark, sf_dir).select(
+        F.lit("root").alias("dataset"), F.lit(None).cast("string").alias("subset"), "sample_idx",
+        F.octet_length("text").alias("nbytes"),
+    )
+    placed = mf.assign_shards(rows, F.col("nbytes"), tb.SHARD_LIMIT)
+    return mf.build_manifest(placed, F.col("nbytes")).select("shard_id", "samples", "bytes")
+
+
+@query(
+    "root_level_sample_split",
+    f"""WITH {tb.SQL_DOCUMENTS}, sizes AS (SELECT strlen(text) AS n FROM docs)
+    SELECT 'sampled' AS step, least(9, count(*) FILTER (WHERE n > 0 AND n <= 1000))
+           + least(9, count(*) FILTER (WHERE n > 1000 AND n <= 50000)) AS samples FROM sizes
+    UNION ALL SELECT 'split', count(*) FROM sizes""",
+)
+def root_level_sample_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sampling and splitting the tokens of a dataset without subsets."""
+    source = _plain(spark, sf_dir)
+    target = _half_tokenized(spark, source)
+    jobs.tokenize_job(spark, source, target, tokenize_bytes, resume=True)
+    edges = [0, 1000, 50_000]
+    sampled = jobs.sample_job(spark, target, scratch_path(spark, "sampled"), edges, 9)
+    split = jobs.split_job(spark, [target], scratch_path(spark, "split"))
+    parts = split.where("split in ('train', 'val')")
+    return sampled.agg(F.lit("sampled").alias("step"), F.sum("collected").alias("samples")).unionByName(
+        parts.agg(F.lit("split").alias("step"), F.sum("samples").alias("samples"))
+    )
+
+
+class _NoBars:
+    """A tokenizer that gives the code points of a text and refuses one with a bar."""
+
+    def tokenize_batch(self, texts: list[str]) -> list[list[int]]:
+        if any("|" in t for t in texts):
+            raise ValueError("bar in text")
+        return [[ord(c) for c in t] for t in texts]
+
+
+@query(
+    "tokenize_job_failures",
+    f"""WITH {tb.SQL_DOCUMENTS}
+    SELECT subset, count(*) FILTER (WHERE text NOT LIKE '%|%') AS written,
+           count(*) FILTER (WHERE text LIKE '%|%') AS rejected FROM docs GROUP BY subset""",
+)
+def tokenize_job_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rejected texts are kept apart, and a resumed run finds nothing to add."""
+    source, target = scratch_path(spark, "texts"), scratch_path(spark, "tokens")
+    sinks.write_subsets(tb.documents(spark, sf_dir), source)
+
+    def tokenize(rows: DataFrame) -> DataFrame:
+        return tokenize_with(rows, _NoBars, errors="record")
+
+    jobs.tokenize_job(spark, source, target, tokenize)
+    jobs.tokenize_job(spark, source, target, tokenize, resume=True)
+    written = ds.read_dataset(spark, target).groupBy("subset").agg(F.count("*").alias("written"))
+    failed = spark.read.parquet(target + "_failures").select("subset", "id").distinct()
+    rejected = failed.groupBy("subset").agg(F.count("*").alias("rejected"))
+    return written.join(rejected, "subset", "full").select(
+        "subset", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("written", "rejected")]
+    )

@@ -23,7 +23,7 @@ from sparkprep.streaming.incremental import failure_status
 
 UNK = vo.SPECIAL_TOKENS.index("[UNK]")
 MAX_SPACES = 24
-OVERFLOW = 300
+OVERFLOW = 400
 
 
 @query(
@@ -78,10 +78,13 @@ def word_counts_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "nfc_normalize",
-    f"""WITH {tb.SQL_DOCUMENTS} SELECT id, md5(nfc_normalize(text)) AS text_md5 FROM docs""",
+    f"""WITH {tb.SQL_DOCUMENTS} SELECT id, md5(nfc_normalize(replace(text, 'e', 'e' || chr(769)))) AS text_md5
+    FROM docs""",
 )
 def nfc_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tb.documents(spark, sf_dir).select("id", F.md5(tx.nfc(F.col("text"))).alias("text_md5"))
+    """Every e becomes two characters that compose to one, so no text is in NFC yet."""
+    apart = F.replace(F.col("text"), F.lit("e"), F.lit("e\u0301"))
+    return tb.documents(spark, sf_dir).select("id", F.md5(tx.nfc(apart)).alias("text_md5"))
 
 
 @query(
@@ -157,8 +160,8 @@ def vocab_special(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "vocab_space_tokens",
     f"""WITH {tb.SQL_WORD_VOCAB}
-    SELECT token, id, special FROM vocab UNION ALL
-    SELECT repeat(' ', i::INT), CAST((SELECT count(*) FROM vocab) + i - 2 AS INTEGER), false
+    SELECT token, id, special, false AS added FROM vocab UNION ALL
+    SELECT repeat(' ', i::INT), CAST((SELECT count(*) FROM vocab) + i - 2 AS INTEGER), false, true
     FROM range(2, {MAX_SPACES + 1}) r(i)""",
 )
 def vocab_space_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -298,19 +301,19 @@ def uint16_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 class CodePointTokenizer:
-    """A user tokenizer: one id per character, refusing text with a tab."""
+    """A user tokenizer: one id per character, refusing text with a bar."""
 
     def tokenize_batch(self, texts: list[str]) -> list[list[int]]:
         for t in texts:
-            if "\t" in t:
-                raise ValueError("tab in text")
+            if "|" in t:
+                raise ValueError("bar in text")
         return [[ord(c) for c in t] for t in texts]
 
 
 @query(
     "pluggable_tokenizer",
     f"""WITH {tb.SQL_DOCUMENTS},
-    coded AS (SELECT id, CASE WHEN text NOT LIKE '%' || chr(9) || '%' THEN
+    coded AS (SELECT id, CASE WHEN text NOT LIKE '%|%' THEN
       list_transform(string_split(text, ''), lambda c: unicode(c)) END AS u FROM docs)
     SELECT id, CAST(coalesce(len(u), -1) AS BIGINT) AS len, {sql_md5('u')} AS ids_md5 FROM coded""",
 )
@@ -323,9 +326,9 @@ def pluggable_tokenizer(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "tokenize_failures",
     f"""WITH {tb.SQL_DOCUMENTS}
-    SELECT subset, count(*) FILTER (WHERE text NOT LIKE '%' || chr(9) || '%') AS samples,
-           count(*) FILTER (WHERE text LIKE '%' || chr(9) || '%') AS failed,
-           max(CASE WHEN text LIKE '%' || chr(9) || '%' THEN 'ValueError: tab in text' END) AS error
+    SELECT subset, count(*) FILTER (WHERE text NOT LIKE '%|%') AS samples,
+           count(*) FILTER (WHERE text LIKE '%|%') AS failed,
+           max(CASE WHEN text LIKE '%|%' THEN 'ValueError: bar in text' END) AS error
     FROM docs GROUP BY subset""",
 )
 def tokenize_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -388,3 +391,67 @@ def space_consistency(spark: SparkSession, sf_dir: str) -> DataFrame:
     distinct = word_counts(tb.documents(spark, sf_dir)).select("word")
     return bpe.space_consistency(distinct, tb.codec(spark, sf_dir))
 
+
+
+SPACED = " " * 5
+
+
+@query(
+    "space_tokens_encode",
+    f"""WITH {tb.SQL_DOCUMENTS},
+    runs AS (SELECT id, regexp_extract_all(replace(text, chr(10), '{SPACED}'), ' {{2,{MAX_SPACES}}}') AS r
+             FROM docs)
+    SELECT id, CAST(len(r) AS BIGINT) AS space_tokens,
+           CAST(coalesce(list_sum([length(x) FOR x IN r]), 0) AS BIGINT) AS spaces FROM runs""",
+)
+def space_tokens_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of spaces become the added tokens of the vocabulary, without naming them."""
+    vocab, merges = tb.trained(spark, sf_dir)
+    size = vocab.count()
+    codec = bpe.load_codec(vo.add_space_tokens(vocab, MAX_SPACES), merges)
+    spaced = F.replace(F.col("text"), F.lit("\n"), F.lit(SPACED))
+    rows = tokenize_bpe(tb.documents(spark, sf_dir).withColumn("text", spaced), codec)
+    added = F.filter("input_ids", lambda i: i >= size)
+    spaces = F.aggregate(added, F.lit(0), lambda n, i: n + i - F.lit(size) + 2)
+    return rows.select(
+        "id", F.size(added).cast("bigint").alias("space_tokens"), spaces.cast("bigint").alias("spaces")
+    )
+
+
+_ODD_ROWS = """odd(id, text) AS (VALUES ('5', 'a b'), ('5', 'b'), ('6', NULL), ('7', ''), ('8', 'b zz a')),
+    listed(token, id) AS (VALUES ('a', 9), ('b', 2), ('a', 1))"""
+
+
+@query(
+    "word_tokenize_odd_rows",
+    f"""WITH {_ODD_ROWS},
+    smallest AS (SELECT token, min(id) AS id FROM listed GROUP BY token),
+    all_rows AS (
+      SELECT * FROM odd UNION ALL SELECT CAST(doc_id AS VARCHAR), text FROM documents UNION ALL
+      SELECT CAST(item_id AS VARCHAR), text FROM benchmark
+    ),
+    split AS (SELECT row_number() OVER () AS rid, id, text,
+              CASE WHEN text IS NOT NULL THEN list_filter(regexp_split_to_array(text, '{tb.SQL_WORD_SPACE}+'),
+                lambda w: regexp_matches(w, '[\\p{{L}}\\p{{N}}_]')) END AS ws FROM all_rows),
+    placed AS (SELECT rid, unnest(ws) AS w, generate_subscripts(ws, 1) AS pos FROM split),
+    looked AS (SELECT rid, list(coalesce(s.id, {UNK}) ORDER BY pos) AS ids
+               FROM placed LEFT JOIN smallest s ON s.token = w GROUP BY rid),
+    result AS (SELECT split.id, text IS NULL AS missing,
+               CASE WHEN text IS NOT NULL THEN md5(coalesce(array_to_string(ids, ','), '')) END AS ids_md5
+               FROM split LEFT JOIN looked USING (rid))
+    SELECT way, result.* FROM result, (VALUES ('looked up'), ('joined')) v(way)""",
+)
+def word_tokenize_odd_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both ways over rows that share ids, have no text, and a vocabulary with a token twice."""
+    odd = [("5", "a b"), ("5", "b"), ("6", None), ("7", ""), ("8", "b zz a")]
+    rows = spark.createDataFrame(odd, "id string, text string")
+    for make in (tb.documents, tb.benchmark):
+        rows = rows.unionByName(make(spark, sf_dir).select("id", "text"))
+    vocab = spark.createDataFrame([("a", 9), ("b", 2), ("a", 1)], "token string, id int")
+    done = [
+        run(rows, vocab, unk_id=UNK).withColumn("way", F.lit(way))
+        for way, run in (("looked up", tokenize_words), ("joined", tokenize_words_joined))
+    ]
+    return done[0].unionByName(done[1]).select(
+        "way", "id", F.col("text").isNull().alias("missing"), ids_md5("input_ids").alias("ids_md5")
+    )

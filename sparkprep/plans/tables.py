@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from sparkprep.functions.arrays import template_single
+from sparkprep.functions.order import prefix_sum
 from sparkprep.operators.bpe import BpeCodec, load_codec, piece_counts, train_bpe
 from sparkprep.operators.evaluate import word_counts
 from sparkprep.operators.tokenize import tokenize_bytes
@@ -20,8 +21,6 @@ CLS, SEP = 256, 257
 SHARD_LIMIT = 32_768
 WORD_VOCAB = 2_000
 BPE_MERGES = 64
-# Fixed value: the largest number of turns numbered inside one conversation.
-TURNS = 10_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,10 +48,19 @@ def languages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``dataset, subset, sample_idx, id, text`` of the turns, numbered without gaps in a subset."""
     c = table(spark, sf_dir, "conversations")
     key = F.concat_ws(":", "conv_id", "turn")
-    order = F.col("conv_id") * F.lit(TURNS) + F.col("turn")
     subset = F.pmod(F.col("conv_id"), F.lit(SUBSETS))
+    turns = c.groupBy("conv_id").agg(F.count("*").alias("_turns"))
+    ends = prefix_sum(
+        turns.withColumns({"_subset": subset, "_number": F.floor(F.col("conv_id") / F.lit(SUBSETS))}),
+        F.col("_turns"), within=["_subset"], order="_number", out="_end",
+    )
+    starts = ends.select("conv_id", (F.col("_end") - F.col("_turns")).alias("_start"))
+    place = F.row_number().over(Window.partitionBy("conv_id").orderBy("turn")) - 1
+    c = c.withColumn("_place", place).join(starts, "conv_id")
+    order = F.col("_start") + F.col("_place")
     return as_corpus(c, dataset="conversations", number=1, id=key, order=order, subset=subset)
 
 
@@ -153,7 +161,8 @@ corpora AS (
   SELECT dataset, subset, sample_idx, id, text FROM docs
   UNION ALL
   SELECT 'conversations', '001_' || lpad(CAST(conv_id % {SUBSETS} AS VARCHAR), 5, '0'),
-         conv_id * {TURNS} + turn, conv_id || ':' || turn, text
+         row_number() OVER (PARTITION BY conv_id % {SUBSETS} ORDER BY conv_id, turn) - 1,
+         conv_id || ':' || turn, text
   FROM conversations
   UNION ALL
   SELECT 'benchmark', '002_' || lpad(CAST(item_id % {SUBSETS} AS VARCHAR), 5, '0'),

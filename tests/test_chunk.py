@@ -176,3 +176,17 @@ def test_a_short_stored_length_prunes_the_scan(spark, tmp_path):
     plan = ck.chunk_dataset(spark.read.parquet(path), cfg)._jdf.queryExecution().toString()
     assert "GreaterThanOrEqual(len,30)" in plan
     assert "Exchange" not in plan
+
+
+def test_work_is_linear_in_the_document(spark):
+    """Eight million ids in one document: a plan that copies them per window takes minutes."""
+    import time
+
+    ids = F.transform(F.sequence(F.lit(0), F.lit(8_000_000 - 1)), lambda i: (i % 256).cast("int"))
+    df = spark.range(1).select(
+        F.lit("d").alias("dataset"), F.lit("s").alias("subset"), F.lit("a").alias("id"), ids.alias("input_ids")
+    ).checkpoint()
+    start = time.perf_counter()
+    cfg = ChunkConfig(1024, 256, 257, min_chunk_size=512)
+    assert ck.chunk_dataset(df, cfg).where("len > 0").count() == -(-8_000_000 // cfg.window)
+    assert time.perf_counter() - start < 20

@@ -95,3 +95,58 @@ def test_split_job(spark, raw, tmp_path):
     assert [r.split for r in only] == ["train_small"]
     with pytest.raises(ValueError):
         jobs.split_job(spark, [str(raw / "missing")], target)
+
+
+def test_chunk_job_by_subset_and_resumed(spark, raw, tmp_path):
+    """Statistics cover the same subsets on both sides, whatever earlier runs left."""
+    tokens, chunks = str(tmp_path / "tokens"), str(tmp_path / "chunks")
+    jobs.tokenize_job(spark, str(raw / "docs"), tokens, byte_tokens)
+    cfg = ChunkConfig(256, 256, 257, min_chunk_size=128, always_skip_size=16, min_sample_tokens=90)
+    by = ["dataset", "subset"]
+    want = {r.subset: r for r in chunk_stats(spark.read.parquet(tokens), cfg, by=by).collect()}
+    for done in (["000_00001"], ["000_00001", "000_00004"]):
+        stats = jobs.chunk_job(spark, tokens, chunks, cfg, subset=done[-1])
+        got = {r.subset: r for r in stats.collect() if r.subset is not None}
+        assert set(got) == set(done)
+        for s in done:
+            for c in ("total_input_samples", "total_output_chunks", "total_tokens_written"):
+                assert got[s][c] == want[s][c]
+            assert got[s].output_samples == want[s].total_output_chunks and got[s].output_size > 0
+    # A finished subset stays as it is, an interrupted one is cut again.
+    kept = {r.f for r in spark.read.parquet(chunks + "/dataset=documents/subset=000_00001").select(
+        F.col("_metadata.file_name").alias("f")).distinct().collect()}
+    half = spark.read.parquet(tokens).where("subset = '000_00005'").limit(3)
+    sinks.write_subsets(half.withColumn("chunk_idx", F.lit(0)), chunks)
+    stats = jobs.chunk_job(spark, tokens, chunks, cfg, resume=True)
+    total = stats.where("dataset is null").first()
+    assert total.total_output_chunks == want[None].total_output_chunks == spark.read.parquet(chunks).count()
+    again = {r.f for r in spark.read.parquet(chunks + "/dataset=documents/subset=000_00001").select(
+        F.col("_metadata.file_name").alias("f")).distinct().collect()}
+    assert kept == again
+
+
+def test_subset_with_too_many_rows_is_written_again(spark, raw, tmp_path):
+    source, tokens = str(raw / "docs"), str(tmp_path / "tokens")
+    corpus = ds.read_dataset(spark, source)
+    rows = byte_tokens(corpus).select("dataset", "subset", "sample_idx", "id", "input_ids", "len")
+    twice = rows.where("subset = '000_00006'")
+    sinks.write_subsets(rows.union(twice), tokens)
+    jobs.tokenize_job(spark, source, tokens, byte_tokens, resume=True)
+    assert spark.read.parquet(tokens).count() == corpus.count()
+
+
+def test_folder_names_stay_strings(spark, tmp_path):
+    df = spark.createDataFrame([(d, s, "x") for d in ("007", "2024") for s in ("1", "02")],
+                               "dataset string, subset string, text string")
+    df.write.partitionBy("dataset", "subset").parquet(str(tmp_path / "d"))
+    got = {(r.dataset, r.subset) for r in ds.read_dataset(spark, str(tmp_path / "d")).collect()}
+    assert got == {("007", "1"), ("007", "02"), ("2024", "1"), ("2024", "02")}
+
+
+def test_space_tokens_are_used(spark, raw, tmp_path):
+    texts = ds.read_dataset(spark, str(raw / "talks"))
+    jobs.train_job(spark, texts, str(tmp_path), vocab_size=100, max_spaces=4)
+    vocab = spark.read.parquet(str(tmp_path / "vocab"))
+    codec = bpe.load_codec(vocab, spark.read.parquet(str(tmp_path / "merges")))
+    row = tokenize_bpe(spark.createDataFrame([("a    b",)], "text string"), codec).first()
+    assert 102 in row.input_ids  # the run of four spaces
