@@ -420,16 +420,16 @@ def test_failures_are_kept_apart(spark):
     from sparkprep.operators.tokenize import tokenize_with
     from sparkprep.plans.queries_text import CodePointTokenizer
 
-    df = make(spark, 10).withColumn("text", F.when(F.col("sample_idx") == 3, "a\tb").otherwise(F.col("text")))
+    df = make(spark, 10).withColumn("text", F.when(F.col("sample_idx") == 3, "a|b").otherwise(F.col("text")))
     rows = tokenize_with(df, CodePointTokenizer, errors="record")
     assert inc.good_rows(rows).count() == 9
     bad = inc.quarantine(rows).collect()
-    assert [(r.id, r.error) for r in bad] == [("3", "ValueError: tab in text")]
+    assert [(r.id, r.error) for r in bad] == [("3", "ValueError: bar in text")]
     status = inc.failure_status(rows)
     assert status.agg(F.sum("samples"), F.sum("failed")).first()[:] == (9, 1)
     with pytest.raises(RuntimeError):
         inc.require_no_failures(status)
-    with pytest.raises(Exception, match="tab in text"):
+    with pytest.raises(Exception, match="bar in text"):
         tokenize_with(df, CodePointTokenizer).collect()
 
 
