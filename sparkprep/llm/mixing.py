@@ -96,6 +96,7 @@ def mix(
     doc_id: str = "doc_id",
     text: str = "text",
     source: str = "source",
+    version: Column | None = None,
     seed: int = SEED,
     weights: tuple[float, ...] = WEIGHTS,
     max_epochs: int = MAX_EPOCHS,
@@ -105,12 +106,13 @@ def mix(
     """``doc_id, source, version, size, source_size, target, passes, taken, positions`` per row.
 
     ``passes`` is how often the document is taken, ``positions`` when, ascending.
+    ``version`` tells rows of one id apart; by default it is a hash of the text.
     """
     slim = stored(
         df.select(
             F.col(doc_id).alias("doc_id"),
             F.col(source).alias("source"),
-            F.xxhash64(text).alias("version"),
+            (F.xxhash64(text) if version is None else version).alias("version"),
             word_count(F.col(text)).alias("size"),
             draw_hex(seed, F.coalesce(F.col(doc_id).cast("string"), F.lit(""))).alias("_draw"),
         ),

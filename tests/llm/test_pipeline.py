@@ -6,6 +6,8 @@ import corpus_pipeline as cp
 import public_tokenizers
 from tokenizers import Tokenizer
 
+from sparkprep.llm.mixing import mix
+
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, version string"
 
 
@@ -61,3 +63,21 @@ def test_stages_on_no_rows(spark):
     for _, stage in cp.STAGES:
         docs = stage(spark, docs, "")
         assert docs.count() == 0
+
+
+def test_rows_without_an_id_and_shared_ids(spark):
+    """Copies without an id become one row; unlike rows of one id stay; no row is multiplied."""
+    a, b, c = words(60, "a"), words(60, "b"), words(60, "c")
+    rows = [(None, a, "en", "s", len(a), "v")] * 40 + [(None, b, None, "s", len(b), "v")] * 3
+    rows += [(7, b, "en", "s", len(b), "v"), (7, c, "en", "s", len(c), "v"), (8, c, "en", "t", len(c), "v")]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    near = cp.near_dedup(spark, docs, "").collect()
+    assert sorted(((r["doc_id"], r["text"]) for r in near), key=str) == sorted([(None, a), (7, b), (7, c)], key=str)
+
+    taken = {}
+    for r in mix(docs).collect():
+        key = (r["doc_id"], r["source"], r["size"] and r["version"])
+        taken[key] = taken.get(key, 0) + r["passes"]
+    out = cp.source_mix(spark, docs, "").collect()
+    assert len(out) == sum(taken.values()) > 0
+    assert sum(r["doc_id"] is None for r in out) == sum(n for k, n in taken.items() if k[0] is None)
