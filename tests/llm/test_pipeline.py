@@ -6,7 +6,8 @@ import corpus_pipeline as cp
 import public_tokenizers
 from tokenizers import Tokenizer
 
-from sparkprep.llm.mixing import mix
+from sparkprep.llm.common import stored
+from sparkprep.llm.mixing import mix, training_order
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, version string"
 
@@ -81,3 +82,17 @@ def test_rows_without_an_id_and_shared_ids(spark):
     out = cp.source_mix(spark, docs, "").collect()
     assert len(out) == sum(taken.values()) > 0
     assert sum(r["doc_id"] is None for r in out) == sum(n for k, n in taken.items() if k[0] is None)
+
+
+def test_mix_is_written_in_training_order(spark):
+    """Three sources, some documents taken more than once."""
+    rows = []
+    for i in range(120):
+        text = words(5 + i % 7, f"t{i}")
+        rows.append((i, text, "en", "abc"[min(i // 15, 2)], len(text), "v"))
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    written = stored(cp.source_mix(spark, docs, ""), "mix")
+    files = sorted(written.inputFiles())
+    got = [r["doc_id"] for f in files for r in spark.read.parquet(f).collect()]
+    want = [r["doc_id"] for r in training_order(mix(docs)).collect()]
+    assert got == want and len(set(got)) < len(got)
