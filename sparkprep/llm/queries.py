@@ -288,3 +288,6 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_projection_forest")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+from sparkprep.llm import queries_search  # noqa: E402, F401
