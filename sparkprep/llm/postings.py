@@ -56,7 +56,7 @@ def _byte_table() -> bytes:
 _TABLE = _byte_table()
 
 INDEX_SCHEMA = (
-    "segment bigint, term string, places array<int>, doc_ids array<bigint>, counts array<int>"
+    "segment bigint, term string, n int, places array<int>, doc_ids array<bigint>, counts array<int>"
 )
 
 
@@ -100,7 +100,7 @@ def _int_lists(values: np.ndarray, sizes: np.ndarray, kind) -> pa.Array:
 
 def _index(gap: int, batches):
     number = TaskContext.get().partitionId() << 32
-    names = ["segment", "term", "places", "doc_ids", "counts"]
+    names = ["segment", "term", "n", "places", "doc_ids", "counts"]
     for batch in batches:
         for start, end in _slices(batch.column(1)):
             words, counts = tokens(batch.column(1).slice(start, end - start))
@@ -110,11 +110,13 @@ def _index(gap: int, batches):
             places = np.arange(len(codes)) + np.repeat(bases - (np.cumsum(counts) - counts), counts)
             order = np.argsort(codes, kind="stable")
             n = len(coded.dictionary)
+            often = np.bincount(codes, minlength=n)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.full(n, number)),
                     coded.dictionary,
-                    _int_lists(places[order].astype(np.int32), np.bincount(codes, minlength=n), pa.int32()),
+                    pa.array(often, pa.int32()),
+                    _int_lists(places[order].astype(np.int32), often, pa.int32()),
                     pa.nulls(n, pa.list_(pa.int64())),
                     pa.nulls(n, pa.list_(pa.int32())),
                 ],
@@ -126,6 +128,7 @@ def _index(gap: int, batches):
                 [
                     pa.array([number]),
                     pa.array([None], pa.string()),
+                    pa.array([end - start], pa.int32()),
                     pa.array([bases.astype(np.int32)], pa.list_(pa.int32())),
                     pa.array([ids.to_pylist()], pa.list_(pa.int64())),
                     pa.array([counts.astype(np.int32)], pa.list_(pa.int32())),
@@ -157,14 +160,16 @@ def windows(items: DataFrame, *, item_id: str = "item_id", text: str = "text", w
 
 
 def _plans(cut: DataFrame, index: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``win, plan`` (term and offset, the rarest first), and the postings of their terms."""
+    """``win, plan`` (term and offset, the rarest first), and the postings of their terms.
+
+    Postings are read from the index where they are used; counting them reads no places.
+    """
     each = cut.select("win", "terms").dropDuplicates(["win"])
     placed = each.select("win", F.posexplode("terms").alias("offset", "term"))
     asked = placed.select("term").distinct()
-    postings = stored(index.where("term is not null").select("segment", "term", "places").join(
-        asked, "term", "left_semi"
-    ), "asked-postings")
-    seen = postings.groupBy("term").agg(F.sum(F.size("places")).alias("n"))
+    postings = index.where("term is not null").select("segment", "term", "n", "places")
+    postings = postings.join(asked, "term", "left_semi")
+    seen = postings.groupBy("term").agg(F.sum("n").alias("n"))
     step = F.struct(F.coalesce("n", F.lit(0)).alias("n"), "offset", "term")
     plans = placed.join(seen, "term", "left").groupBy("win").agg(F.sort_array(F.collect_list(step)).alias("plan"))
     # A word that the corpus does not have comes first.
