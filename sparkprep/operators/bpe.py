@@ -5,13 +5,19 @@ order. A piece is then a string with one character per token, applying a merge
 is ``replace`` (left to right, without overlaps, which is what a merge means),
 and the order of two pairs as strings is their order as id pairs. The whole
 loop stays in built-in string functions.
+
+Training counts all pairs once. After that a round looks only at pieces that hold a merged
+pair: what they had before is taken off the counts and what they have now is added. The driver
+keeps the most frequent pairs (``PairPool``); the pieces stay where they are. Pieces keep the
+symbols they began with, so a plain substring test finds those a merge can touch.
 """
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import heapq
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -19,12 +25,16 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from sparkprep.functions.arrays import let
 from sparkprep.functions.text import pre_tokenize, with_prefix_space
 from sparkprep.operators.vocab import SPECIAL_TOKENS, bounded_rows
 from sparkprep.session import drop_scratch, written
 
 PIECES_PER_TASK = 65_536
+POOL_PAIRS = 65_536
+# Merges that are applied on the fly before the pieces are written anew, and the most of one
+# round: more would make the expression that applies them too long.
+PENDING_MERGES = 32
+LOOSE_SHARE = 0.5
 
 _FIRST_CODE = 0x100
 _SURROGATES = 0xD800, 0x800
@@ -76,19 +86,81 @@ def piece_counts(texts: DataFrame, text: str = "text") -> DataFrame:
     return pieces.groupBy("piece").agg(F.count("*").alias("n"))
 
 
+def adjacent_pairs(symbols: Column) -> Column:
+    """The pairs of neighbours in a string with one character per symbol, in one pass."""
+    return F.regexp_extract_all(symbols, F.lit("(?s)(?=(..))"), F.lit(1))
+
+
 def pair_counts(symbols: DataFrame, column: str = "symbols", n: str = "n") -> DataFrame:
     """``pair, n``: adjacent symbol pairs, one character per symbol, weighted."""
-    # Characters beside characters, so a piece is walked once whatever its length.
-    adjacent = let(
-        F.split(column, ""),
-        lambda c: F.zip_with(
-            F.slice(c, F.lit(1), F.size(c) - 1),
-            F.slice(c, F.lit(2), F.size(c) - 1),
-            lambda left, right: F.concat(left, right),
-        ),
+    pairs = symbols.select(F.col(n).alias("_n"), F.explode(adjacent_pairs(F.col(column))).alias("pair"))
+    return pairs.groupBy("pair").agg(F.sum("_n").alias("n"))
+
+
+class PairPool:
+    """The most frequent pairs with their exact counts, on the driver.
+
+    A pair that is not in the pool has at most ``floor`` occurrences. That stays true: a
+    merge adds to no pair but those that hold the new token, and a new token's pairs are all
+    reported, in full, in the round that makes it.
+    """
+
+    def __init__(self, counts: dict[str, int], floor: int, size: int) -> None:
+        self.counts, self.floor, self.size = counts, floor, size
+        self.fresh = True  # nothing has changed: ties at the floor are in order, too
+
+    def change(self, changes: Iterable[tuple[str, int]]) -> None:
+        """Add the changes of a round. A pair from outside must be a new token's."""
+        self.fresh = False
+        for pair, n in changes:
+            now = self.counts.get(pair, 0) + n
+            if now > self.floor:
+                self.counts[pair] = now
+            else:
+                self.counts.pop(pair, None)
+        if len(self.counts) > 2 * self.size:
+            kept = heapq.nsmallest(self.size + 1, self.counts.items(), key=_by_rank)
+            self.floor = kept.pop()[1]
+            self.counts = {p: n for p, n in kept if n > self.floor}
+
+    def best(self, k: int) -> tuple[list[tuple[str, int]], int]:
+        """The k best pairs that are certainly the best of all, and the count others may have."""
+        certain = self.counts.items()
+        if not self.fresh:
+            certain = ((p, n) for p, n in certain if n > self.floor)
+        ranked = heapq.nsmallest(k + 1, certain, key=_by_rank)
+        rest = max(self.floor, ranked[k][1] if len(ranked) > k else 0)
+        return ranked[:k], rest
+
+
+def _by_rank(item: tuple[str, int]) -> tuple[int, str]:
+    return -item[1], item[0]
+
+
+def _count_pool(symbols: DataFrame, lengths: list[int], longest: int, size: int) -> PairPool:
+    """Count all pairs; the best ``size`` that may merge come to the driver."""
+    pairs = pair_counts(symbols).where(F.substring("pair", 1, 1) >= chr(_FIRST_CODE))
+    long = _too_long_pairs(lengths, longest)
+    if long is not None:
+        pairs = pairs.where(~long)
+    rows = pairs.orderBy(F.desc("n"), F.asc("pair")).limit(size + 1).collect()
+    floor = rows[size]["n"] if len(rows) > size else 0
+    return PairPool({r["pair"]: r["n"] for r in rows[:size]}, floor, size)
+
+
+def _changes(symbols: DataFrame, floor: int) -> list[tuple[str, int]]:
+    """How pair counts differ between ``was`` and ``symbols``, over the pieces that may have changed.
+
+    Only pairs beside a merged one change, a number that the vocabulary bounds; new
+    pairs too rare for the pool stay away.
+    """
+    both = F.array(
+        F.struct(F.col("was").alias("s"), (-F.col("n")).alias("n")),
+        F.struct(F.col("symbols").alias("s"), F.col("n").alias("n")),
     )
-    pairs = symbols.select(F.col(n).alias("_n"), F.explode(adjacent).alias("pair"))
-    return pairs.where(F.length("pair") == 2).groupBy("pair").agg(F.sum("_n").alias("n"))
+    sides = symbols.select(F.explode(both).alias("e")).select("e.*")
+    pairs = pair_counts(sides, "s").where(F.substring("pair", 1, 1) >= chr(_FIRST_CODE))
+    return [(r["pair"], r["n"]) for r in pairs.where((F.col("n") < 0) | (F.col("n") > floor)).collect()]
 
 
 def train_bpe(
@@ -99,14 +171,20 @@ def train_bpe(
     specials: Sequence[str] = SPECIAL_TOKENS,
     alphabet: str = "seen",
     candidates: int = 256,
-    checkpoint_rounds: int = 16,
+    pending_merges: int = PENDING_MERGES,
+    exact: bool = True,
+    pool_pairs: int = POOL_PAIRS,
 ) -> Merges:
     """Learn merges from ``piece, n``.
 
-    One round counts all pairs, brings the best ``candidates`` of them to the
-    driver and applies as many merges as are certain to come next in the
-    one-at-a-time order (``_certain_merges``), so the result is the same as with
-    one merge per round. Ties go to the pair with the smaller ids.
+    One round takes the best ``candidates`` pairs of the pool and applies as many merges as
+    are certain to come next in the one-at-a-time order (``_certain_merges``), so the result
+    is the same as with one merge per round. Ties go to the pair with the smaller ids. When
+    the pool cannot tell the best pair any more, all pairs are counted again.
+
+    ``exact=False`` is for large vocabularies: a round also takes pairs whose place in the order
+    is not certain, if they are independent of the others and have at least ``LOOSE_SHARE`` of the
+    best one's count. That needs far fewer rounds; tokens may come in another order.
 
     ``alphabet='seen'`` starts from the bytes of the corpus, ``'all'`` from all
     256, with which every text can be encoded without loss.
@@ -124,32 +202,35 @@ def train_bpe(
 
     source = "".join(chr(CHAR_BYTES[c]) for c in ordered)
     target = "".join(token_code(ids[c]) for c in ordered)
-    symbols = counts.select(F.translate(latin, source, target).alias("symbols"), "n").where(
-        F.length("symbols") > 1
-    )
+    start = F.translate(latin, source, target)
+    symbols = counts.select(start.alias("start"), start.alias("symbols"), "n").where(F.length("start") > 1)
     # The loop is bound by CPU, so it uses every core even when the table is small, and
     # more tasks than cores when it is large.
     spark = counts.sparkSession
     symbols, path = written(symbols, "pieces")
     width = max(spark.sparkContext.defaultParallelism, symbols.count() // PIECES_PER_TASK)
     symbols = symbols.repartition(width, "symbols").persist()
-    rounds: list[DataFrame] = []
+    # Merges learned since the pieces were written; a round applies them where it reads.
+    pending: list[tuple[int, int, int]] = []
+    pool: PairPool | None = None
     while len(learned.tokens) < vocab_size:
-        pairs = pair_counts(symbols)
-        long = _too_long_pairs(lengths, max_token_length)
-        if long is not None:
-            pairs = pairs.where(~long)
-        best = pairs.orderBy(F.desc("n"), F.asc("pair")).limit(candidates).collect()
+        if pool is None:
+            now = symbols.select(_merged(F.col("symbols"), pending).alias("symbols"), "n")
+            pool = _count_pool(now, lengths, max_token_length, pool_pairs)
+        best, rest = pool.best(candidates)
         if not best:
-            break
-        chosen = _certain_merges(
-            [(_id_of(r.pair[0]), _id_of(r.pair[1]), r.n) for r in best],
-            len(best) == candidates,
-            learned.tokens,
-            ids,
-        )
-        replaced = F.col("symbols")
-        for a, b, n in chosen:
+            if not pool.floor or pool.fresh:
+                break
+            pool = None
+            continue
+        ranked = [(_id_of(p[0]), _id_of(p[1]), n) for p, n in best]
+        if exact:
+            chosen = _certain_merges(ranked, rest, learned.tokens, ids)
+        else:
+            chosen = _independent_merges(ranked, learned.tokens, ids)
+        fresh: list[tuple[int, int, int]] = []
+        recount = False
+        for a, b, n in chosen[:pending_merges]:
             if len(learned.tokens) >= vocab_size:
                 break
             token = learned.tokens[a] + learned.tokens[b]
@@ -157,33 +238,78 @@ def train_bpe(
             if new == len(learned.tokens):
                 learned.tokens.append(token)
                 lengths.append(lengths[a] + lengths[b])
+            else:
+                recount = True  # a known token gains occurrences, so pairs outside the pool may
             learned.merges.append((a, b, new, n))
-            replaced = F.replace(
-                replaced, F.lit(token_code(a) + token_code(b)), F.lit(token_code(new))
-            )
-        # Each round is cached by its own counting job; the round before is then
-        # dropped. Checkpoints bound what a lost executor makes Spark repeat.
-        older, symbols = symbols, symbols.select(replaced.alias("symbols"), "n").persist()
+            fresh.append((a, b, new))
         learned.rounds += 1
-        if learned.rounds % checkpoint_rounds == 0:
+        if recount:
+            pool = None
+        else:
+            # A piece that holds a pair spells it, whatever was merged in between.
+            spells = [_spelled(learned.tokens[new], ids) for _, _, new in fresh]
+            near = symbols.where(functools.reduce(Column.__or__, [F.contains("start", F.lit(t)) for t in spells]))
+            sides = near.select(_merged(F.col("symbols"), pending).alias("was"), "n")
+            sides = sides.select("was", _merged(F.col("was"), fresh).alias("symbols"), "n")
+            changes = _changes(sides, pool.floor)
+            pool.change((p, n) for p, n in changes if n < 0 or _may_merge(p, lengths, max_token_length))
+        pending += fresh
+        if len(pending) > pending_merges:
             # A piece that has become one token can take no further merge. The table
             # written before is not needed any more.
-            kept, newer = written(symbols.where(F.length("symbols") > 1), "pieces")
+            done = symbols.select("start", _merged(F.col("symbols"), pending).alias("symbols"), "n")
+            kept, newer = written(done.where(F.length("symbols") > 1), "pieces")
             symbols.unpersist()
             symbols = kept.repartition(width, "symbols").persist()
             drop_scratch(spark, path)
-            path = newer
-        rounds.append(older)
-        if len(rounds) > 1:
-            rounds.pop(0).unpersist()
-    for older in (*rounds, symbols):
-        older.unpersist()
+            path, pending = newer, []
+    symbols.unpersist()
     drop_scratch(spark, path)
     return learned
 
 
+def _merged(symbols: Column, merges: Sequence[tuple[int, int, int]]) -> Column:
+    """The symbols after some merges, in their order."""
+    for a, b, new in merges:
+        symbols = F.replace(symbols, F.lit(token_code(a) + token_code(b)), F.lit(token_code(new)))
+    return symbols
+
+
+def _spelled(token: str, ids: dict[str, int]) -> str:
+    """A token as the symbols that training starts from."""
+    return "".join(token_code(ids[c]) for c in token)
+
+
+def _may_merge(pair: str, lengths: list[int], longest: int) -> bool:
+    """Whether the pair's token stays below the limit; two starting symbols always may merge."""
+    both = lengths[_id_of(pair[0])] + lengths[_id_of(pair[1])]
+    return both <= 2 or both < longest
+
+
+def _independent_merges(
+    ranked: list[tuple[int, int, int]], tokens: list[str], ids: dict[str, int]
+) -> list[tuple[int, int, int]]:
+    """The leading pair and the later ones that touch no pair taken before."""
+    taken: list[tuple[int, int, int]] = []
+    lefts: set[int] = set()
+    rights: set[int] = set()
+    spelled: set[str] = set()
+    for a, b, n in ranked:
+        token = tokens[a] + tokens[b]
+        alone = a == b or token in ids or token in spelled
+        if taken and (alone or b in lefts or a in rights or n < LOOSE_SHARE * taken[0][2]):
+            continue
+        taken.append((a, b, n))
+        if alone:
+            break
+        lefts.add(a)
+        rights.add(b)
+        spelled.add(token)
+    return taken
+
+
 def _certain_merges(
-    ranked: list[tuple[int, int, int]], truncated: bool, tokens: list[str], ids: dict[str, int]
+    ranked: list[tuple[int, int, int]], rest: int, tokens: list[str], ids: dict[str, int]
 ) -> list[tuple[int, int, int]]:
     """The leading pairs that keep their rank whatever the merges before them do.
 
@@ -192,14 +318,13 @@ def _certain_merges(
     to the first pair that ends in an accepted left symbol or begins with an
     accepted right one; accepted pairs counted more often than that are certain.
     A pair of equal symbols and a pair that spells an existing token are taken
-    alone. A truncated list ends at its last count: what is not listed is no
-    more frequent.
+    alone. What is not listed has a count of at most ``rest``.
     """
     taken: list[tuple[int, int, int]] = []
     lefts: set[int] = set()
     rights: set[int] = set()
     spelled: set[str] = set()
-    stop = ranked[-1][2] if truncated else 0
+    stop = rest
     for a, b, n in ranked:
         token = tokens[a] + tokens[b]
         alone = a == b or token in ids or token in spelled

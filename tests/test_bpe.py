@@ -92,6 +92,37 @@ def test_ties_and_repeats_equal_library(spark):
     assert [[mine.tokens[a], mine.tokens[b]] for a, b, _, _ in mine.merges] == model["merges"]
 
 
+@pytest.mark.parametrize("pool,pending", [(1, 1), (3, 2), (20, 4)])
+def test_small_pools_learn_the_same(spark, learned, texts, pool, pending):
+    """However few pairs the driver keeps, and however often pieces are written anew."""
+    counts = bpe.piece_counts(texts.where("doc_id < 30 or doc_id >= 1000000")).persist()
+    plain = bpe.train_bpe(counts, vocab_size=150)
+    tight = bpe.train_bpe(counts, vocab_size=150, pool_pairs=pool, pending_merges=pending)
+    assert (tight.tokens, tight.merges) == (plain.tokens, plain.merges)
+
+
+def test_pool_keeps_what_it_must():
+    pool = bpe.PairPool({"ab": 9, "bc": 5, "cd": 4}, 3, 2)
+    assert pool.best(2) == ([("ab", 9), ("bc", 5)], 4)
+    pool.change([("ab", -9), ("bc", -1), ("xy", 7), ("yz", 3), ("qq", -2)])
+    assert pool.best(5) == ([("xy", 7), ("bc", 4), ("cd", 4)], 3)
+    pool.change([("x1", 6), ("x2", 5)])  # more than twice its size: cut, and the floor rises
+    assert pool.counts == {"xy": 7, "x1": 6} and pool.floor == 5
+    assert pool.best(9) == ([("xy", 7), ("x1", 6)], 5)
+
+
+def test_loose_training(spark, texts, learned):
+    """Fewer rounds, as many tokens, mostly the same ones, and texts come back whole."""
+    counts = bpe.piece_counts(texts).persist()
+    loose = bpe.train_bpe(counts, vocab_size=270, exact=False)
+    assert len(loose.tokens) == 270 and loose.rounds < learned.rounds
+    assert len(set(loose.tokens) & set(learned.tokens)) > 0.9 * 270
+    again = bpe.train_bpe(counts, vocab_size=270, exact=False)
+    assert (again.tokens, again.merges) == (loose.tokens, loose.merges)
+    codec = bpe.codec_of(loose)
+    assert bpe.round_trip(texts, codec).where("not same").count() == 0
+
+
 def test_encode_and_decode_equal_library(texts, lines, learned):
     t = library(lines, 270, 64)
     codec = bpe.codec_of(learned)
