@@ -13,6 +13,7 @@ from sparkprep.plans import jobs, tables as tb
 from sparkprep.plans.registry import query
 from sparkprep.session import scratch_path
 from sparkprep.sources import datasets as ds, manifest as mf, sinks
+from sparkprep.sources.shards import greedy_shards
 from sparkprep.streaming import incremental as inc
 
 TRAIN, VAL, SMALL = 0.8, 0.2, 0.15
@@ -103,6 +104,32 @@ def shard_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tb.manifest(spark, sf_dir)
 
 
+def _sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tb.corpora(spark, sf_dir).select(
+        "dataset", "subset", "sample_idx", F.octet_length("text").cast("bigint").alias("nbytes")
+    )
+
+
+@query(
+    "shard_greedy",
+    f"WITH {tb.SQL_GREEDY_SHARDS} SELECT dataset, subset, sample_idx, nbytes, shard_id FROM greedy",
+)
+def shard_greedy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shards that never exceed the limit, cut over many small blocks."""
+    return greedy_shards(_sizes(spark, sf_dir), F.col("nbytes"), tb.SHARD_LIMIT, cut_rows=64)
+
+
+@query(
+    "shard_greedy_manifest",
+    f"""WITH {tb.SQL_GREEDY_SHARDS}
+    SELECT dataset, subset, shard_id, count(*) AS samples, CAST(sum(nbytes) AS BIGINT) AS bytes
+    FROM greedy GROUP BY ALL""",
+)
+def shard_greedy_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = greedy_shards(_sizes(spark, sf_dir), F.col("nbytes"), tb.SHARD_LIMIT)
+    return mf.build_manifest(placed, F.col("nbytes"))
+
+
 @query(
     "shard_fingerprint",
     f"""WITH {tb.SQL_SHARDS}

@@ -183,6 +183,27 @@ manifest AS (
   FROM shard_rows GROUP BY ALL
 )"""
 
+# Shards cut one after another: the next begins at the first sample that would exceed the limit.
+SQL_GREEDY_SHARDS = f"""RECURSIVE {SQL_CORPORA},
+cums AS (
+  SELECT dataset, subset, sample_idx, strlen(text) AS nbytes,
+         sum(strlen(text)) OVER (PARTITION BY dataset, subset ORDER BY sample_idx) AS cum
+  FROM corpora
+),
+cuts(dataset, subset, shard_id, start, before) AS (
+  SELECT dataset, subset, CAST(0 AS BIGINT), min(sample_idx), CAST(0 AS HUGEINT) FROM cums GROUP BY ALL
+  UNION ALL
+  SELECT s.dataset, s.subset, s.shard_id + 1, min(c.sample_idx), arg_min(c.cum - c.nbytes, c.sample_idx)
+  FROM cuts s JOIN cums c ON c.dataset = s.dataset AND c.subset = s.subset
+       AND c.sample_idx > s.start AND c.cum > s.before + {SHARD_LIMIT}
+  GROUP BY s.dataset, s.subset, s.shard_id
+),
+greedy AS (
+  SELECT c.dataset, c.subset, c.sample_idx, c.nbytes, s.shard_id
+  FROM cums c ASOF JOIN cuts s
+    ON c.dataset = s.dataset AND c.subset = s.subset AND c.sample_idx >= s.start
+)"""
+
 SQL_BYTES = f"""{SQL_DOCUMENTS},
 bytes AS (
   SELECT dataset, subset, sample_idx, id,
