@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from sparkprep.functions.draws import draw_unit
+from sparkprep.functions.groups import join_null_safe
 from sparkprep.functions.order import shuffled_rank
 
 SHARD_KEY = ("dataset", "subset", "shard_id")
@@ -95,9 +96,9 @@ def split_summary(labelled: DataFrame) -> DataFrame:
 def rows_of_split(
     rows: DataFrame, labelled: DataFrame, split: str, key: Sequence[str] = SHARD_KEY
 ) -> DataFrame:
-    """The rows of one split: a semi join with its shards."""
+    """The rows of one split: a semi join with its shards; the subset without a name is one, too."""
     shards = labelled.where(F.col("split") == split).select(*key)
-    return rows.join(shards, list(key), "left_semi")
+    return join_null_safe(rows, shards, key, "left_semi")
 
 
 def split_rows(

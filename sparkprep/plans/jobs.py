@@ -6,7 +6,7 @@ import os
 from collections.abc import Callable, Sequence
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from sparkprep.functions.groups import join_null_safe, rollup_sums
 
@@ -26,6 +26,7 @@ from sparkprep.operators.split import (
 )
 from sparkprep.operators.tokenize import require_uint16, token_stats
 from sparkprep.operators.vocab import add_space_tokens, pad_vocabulary
+from sparkprep.plans.isolation import DONE, STATUS, Unit, read_unit, run_isolated, source_schema, units
 from sparkprep.functions.text import nfc
 from sparkprep.sources.datasets import read_dataset, subset_filter, union_datasets, with_text
 from sparkprep.sources.manifest import file_manifest, with_file_shards
@@ -75,6 +76,7 @@ def tokenize_job(
     subset: str | None = None,
     resume: bool = False,
     compression: str = "zstd",
+    max_parallel: int | None = None,
 ) -> DataFrame:
     """Tokenize a dataset folder; returns the statistics of what the output then holds.
 
@@ -82,8 +84,28 @@ def tokenize_job(
     and only missing rows are added; a subset with more rows than it should have is
     written again. Rows that a tokenizer with ``errors="record"`` rejects are not
     written: they go to ``<target>_failures``, with counts per subset in
-    ``<target>_status``, and a later resume tries them again.
+    ``<target>_status``, and a later resume tries them again. Rows are known by their
+    place (``sample_idx``) in the subset; ids may repeat or be null.
+
+    With ``max_parallel`` every subset is a job of its own, so many at a time, and an error of
+    any kind ends that subset only: see ``isolated_job``.
     """
+    if max_parallel is not None:
+
+        def work(rows: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+            tokens = tokenize(with_text(rows))
+            rejected = quarantine(tokens) if "error" in tokens.columns else None
+            kept = good_rows(tokens) if rejected is not None else tokens
+            return require_uint16(kept.select(*GROUP, "sample_idx", "id", "input_ids", "len")), rejected
+
+        isolated_job(
+            spark, source, target, work, subset=subset, resume=resume, compression=compression, max_parallel=max_parallel
+        )
+        if not _exists(spark, target):
+            return spark.createDataFrame([], "dataset string, subset string, num_tokens bigint, num_samples bigint")
+        stats = _with_output_size(spark, token_stats(read_dataset(spark, target), by=list(GROUP)), target)
+        write_stats(stats, target.rstrip("/") + "_stats")
+        return stats
     corpus = with_text(_with_dataset(read_dataset(spark, source), source))
     if subset is not None:
         corpus = subset_filter(corpus, subset)
@@ -119,7 +141,7 @@ def tokenize_job(
         unfinished = status.where(F.col("status").isin("resumable", "new")).select(*GROUP)
         rows = join_null_safe(corpus, unfinished, GROUP, "left_semi")
         # Read anew: files of a subset written again are not those listed before.
-        run(pending_rows(rows, read_dataset(spark, target), (*GROUP, "id")), "append")
+        run(pending_rows(rows, read_dataset(spark, target), (*GROUP, "sample_idx")), "append")
     else:
         run(corpus, "overwrite")
     stats = token_stats(read_dataset(spark, target), by=list(GROUP))
@@ -128,6 +150,58 @@ def tokenize_job(
     return stats
 
 
+def isolated_job(
+    spark: SparkSession,
+    source: str,
+    target: str,
+    work: Callable[[DataFrame], tuple[DataFrame, DataFrame | None]],
+    *,
+    subset: str | None = None,
+    resume: bool = False,
+    compression: str = "zstd",
+    max_parallel: int = 4,
+) -> DataFrame:
+    """Transform every subset of a dataset in a job of its own; returns the status of all.
+
+    ``work`` gives the rows to write and, if it rejects any, those. A subset is replaced as a
+    whole when its job ends well, and not touched otherwise; rejected rows go to
+    ``<target>_failures``. ``<target>_status`` lists every subset with its
+    state, counts and error. With ``resume`` subsets listed there as done stay as they
+    are. ``require_done`` turns failures into an error once all others are through.
+    """
+    base = target.rstrip("/")
+    todo = units(spark, source)
+    if subset is not None:
+        todo = [u for u in todo if u.subset == subset]
+        if not todo:
+            raise ValueError(f"subset {subset!r} not found")
+    schema = source_schema(spark, source) if todo else None
+    before = spark.createDataFrame([], STATUS)
+    if _exists(spark, base + "_status"):
+        before, _ = written(spark.read.schema(before.schema).parquet(base + "_status"), "status")
+    if resume:
+        done = {(r["dataset"], r["subset"]) for r in before.where(F.col("status") == DONE).collect()}
+        todo = [u for u in todo if (u.dataset, u.subset) not in done]
+
+    def run(unit: Unit) -> tuple[int, int]:
+        rows, rejected = work(read_unit(spark, source, schema, unit))
+        counted = Observation()
+        # Dynamic overwrite stages each job's files apart, so jobs do not meet in the target.
+        write_subsets(rows.observe(counted, F.count(F.lit(1)).alias("n")), target, compression=compression, rebalance=False)
+        bad = 0
+        if rejected is not None:
+            refused = Observation()
+            write_subsets(rejected.observe(refused, F.count(F.lit(1)).alias("n")), base + "_failures", rebalance=False)
+            bad = refused.get["n"]
+        return counted.get["n"], bad
+
+    status = run_isolated(spark, todo, run, max_parallel)
+    current = join_null_safe(before, status, GROUP, "left_anti").unionByName(status)
+    current, _ = written(current, "status")
+    current.coalesce(1).write.mode("overwrite").parquet(base + "_status")
+    return current
+
+
 def chunk_job(
     spark: SparkSession,
     source: str,
@@ -138,14 +212,25 @@ def chunk_job(
     resume: bool = False,
     compression: str = "zstd",
     reencode: Callable[[DataFrame, str], DataFrame] | None = None,
+    max_parallel: int | None = None,
 ) -> DataFrame:
     """Cut a tokenized dataset into chunks; returns the counters of what the target then holds.
 
     With ``resume`` subsets that the statistics of an earlier run list are finished and
     stay. Statistics are written last, so a subset without them was interrupted and
     is cut again from the start.
+
+    With ``max_parallel`` every subset is a job of its own and fails alone (``isolated_job``);
+    what fails is missing in the statistics.
     """
     base = target.rstrip("/")
+    if max_parallel is not None:
+        status = isolated_job(
+            spark, source, target, lambda rows: (chunk_dataset(rows, cfg, keep=GROUP, reencode=reencode), None),
+            subset=subset, resume=resume, compression=compression, max_parallel=max_parallel,
+        )
+        parts = [u for u in units(spark, source) if _is_done(status, u)]
+        return _isolated_chunk_stats(spark, source, target, cfg, parts)
     everything = _with_dataset(read_dataset(spark, source), source)
     tokens = everything if subset is None else subset_filter(everything, subset)
     finished = None
@@ -173,6 +258,29 @@ def chunk_job(
     return stats
 
 
+def _is_done(status: DataFrame, unit: Unit) -> bool:
+    same = (F.col("dataset") == unit.dataset) & (F.col("subset") == unit.subset)
+    return bool(status.where(same & (F.col("status") == DONE)).take(1))
+
+
+def _isolated_chunk_stats(
+    spark: SparkSession, source: str, target: str, cfg: ChunkConfig, parts: list[Unit]
+) -> DataFrame:
+    """Statistics over the subsets that are done; files of the others are not opened."""
+    base = target.rstrip("/")
+    if not parts:
+        return spark.createDataFrame([], "dataset string, subset string")
+    schema = source_schema(spark, source)
+    inputs = union_datasets([read_unit(spark, source, schema, u) for u in parts])
+    cut = read_dataset(spark, target)
+    done = inputs.select(*GROUP).distinct()
+    cut = join_null_safe(cut, done, GROUP, "left_semi")
+    stats = _with_output_size(spark, written_chunk_stats(inputs, cut, cfg, by=list(GROUP)), target)
+    write_stats(length_percentiles(cut, by=list(GROUP)), base + "_percentiles")
+    write_stats(stats, base + "_stats")
+    return stats
+
+
 def sample_job(
     spark: SparkSession,
     source: str,
@@ -185,7 +293,8 @@ def sample_job(
 ) -> DataFrame:
     """Sample k sequences per length bin; returns the statistics per bin."""
     tokens = _with_dataset(read_dataset(spark, source), source)
-    key = (*GROUP, "id")
+    # A sample's place in its subset is unique; its id need not be.
+    key = (*GROUP, "sample_idx")
     chosen = sample_per_bin(tokens, edges, k, seed=seed, key=key)
     rows = chosen.select("input_ids", "len", "bin_label")
     codec = "uncompressed" if compression == "none" else compression

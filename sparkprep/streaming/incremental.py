@@ -11,6 +11,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from sparkprep.functions.groups import join_null_safe
+from sparkprep.sources.datasets import read_dataset
+from sparkprep.sources.sinks import write_subsets
 
 CORPUS_SCHEMA = T.StructType(
     [
@@ -60,9 +62,9 @@ def status_summary(status: DataFrame) -> DataFrame:
 
 
 def pending_rows(
-    df: DataFrame, output: DataFrame, key: Sequence[str] = ("dataset", "subset", "id")
+    df: DataFrame, output: DataFrame, key: Sequence[str] = ("dataset", "subset", "sample_idx")
 ) -> DataFrame:
-    """Rows that the output does not have yet: an anti join on unique row keys."""
+    """Rows that the output does not have yet: an anti join on unique row keys, not on ids."""
     return join_null_safe(df, output.select(*key), key, "left_anti")
 
 
@@ -97,6 +99,56 @@ def run_incremental(
     query.awaitTermination()
 
 
+BATCH = "batch"
+
+
+def run_batches(
+    spark: SparkSession,
+    source: str,
+    target: str,
+    checkpoint: str,
+    transform: Callable[[DataFrame], DataFrame],
+    *,
+    schema: T.StructType = CORPUS_SCHEMA,
+    by: Sequence[str] = ("dataset", "subset"),
+    files_per_batch: int = 16,
+    compression: str = "zstd",
+) -> int:
+    """Process the files of ``source`` in batches that are each written exactly once.
+
+    A subset of many files is done batch by batch, so a run that was stopped goes on inside the
+    subset, with the first batch that was not finished. The batch number is the commit key: a
+    batch writes below ``batch=<number>`` of its subsets and replaces what an interrupted attempt at
+    the same batch left there; the checkpoint gives a repeated batch the same number and the same
+    files. ``transform`` sees the rows of one batch and must treat rows one by one, as
+    tokenizing and chunking do. Returns how many batches this call finished.
+    """
+    finished = 0
+
+    def write(rows: DataFrame, number: int) -> None:
+        nonlocal finished
+        done = transform(rows).withColumn(BATCH, F.lit(number))
+        write_subsets(done, target, by=(*by, BATCH), compression=compression, rebalance=False)
+        finished += 1
+
+    query = (
+        spark.readStream.schema(schema)
+        .option("maxFilesPerTrigger", files_per_batch)
+        .parquet(source)
+        .writeStream.foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    return finished
+
+
+def read_batches(spark: SparkSession, target: str) -> DataFrame:
+    """What ``run_batches`` has written, without the number of the batch."""
+    return read_dataset(spark, target).drop(BATCH)
+
+
 def good_rows(df: DataFrame) -> DataFrame:
     """Rows the tokenizer accepted."""
     return df.where(F.col("error").isNull()).drop("error")
