@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sparkprep.functions.order import shuffled_rank
 from sparkprep.operators import split as sp
+from sparkprep.operators.chunk import LOSSLESS, NO_BACKFILL, ChunkConfig, chunk_dataset
 from sparkprep.operators.tokenize import token_stats, tokenize_bytes, tokenize_with
 from sparkprep.plans import jobs, tables as tb
 from sparkprep.plans.registry import query
@@ -628,3 +629,114 @@ def tokenize_job_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return written.join(rejected, "subset", "full").select(
         "subset", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("written", "rejected")]
     )
+
+
+# ---- jobs that go on after failures ------------------------------------------
+
+# Ids repeat and are missing; a sample is known by its place in its subset.
+_ODD_IDS = "CASE WHEN sample_idx % 10 <> 0 THEN CAST(sample_idx // 3 AS VARCHAR) END"
+
+
+def _odd_ids(spark: SparkSession, sf_dir: str) -> str:
+    """The documents with repeated and null ids, as subset folders of several files each."""
+    path = scratch_path(spark, "odd-ids")
+    number = F.floor(F.col("sample_idx") / 3).cast("string")
+    docs = tb.documents(spark, sf_dir).withColumn("id", F.when(F.col("sample_idx") % 10 != 0, number))
+    sinks.write_subsets(docs, path)
+    return path
+
+
+@query(
+    "resume_repeated_ids",
+    f"""WITH {tb.SQL_DOCUMENTS}
+    SELECT subset, sample_idx, {_ODD_IDS} AS id, CAST(strlen(text) AS INTEGER) AS len FROM docs""",
+)
+def resume_repeated_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half of every subset is tokenized, then the job resumes."""
+    source, target = _odd_ids(spark, sf_dir), scratch_path(spark, "tokens")
+    half = tokenize_bytes(ds.read_dataset(spark, source).where("sample_idx % 2 = 0"))
+    sinks.write_subsets(half.select("dataset", "subset", "sample_idx", "id", "input_ids", "len"), target)
+    jobs.tokenize_job(spark, source, target, tokenize_bytes, resume=True)
+    return ds.read_dataset(spark, target).select("subset", "sample_idx", "id", "len")
+
+
+@query(
+    "sample_repeated_ids",
+    f"""WITH {tb.SQL_DOCUMENTS}, sizes AS (SELECT strlen(text) AS n FROM docs)
+    SELECT least(25, count(*) FILTER (WHERE n > 0 AND n <= 1000))
+           + least(25, count(*) FILTER (WHERE n > 1000 AND n <= 50000)) AS samples FROM sizes""",
+)
+def sample_repeated_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A sample holds as many rows as asked for, whatever their ids."""
+    source, target, sample = _odd_ids(spark, sf_dir), scratch_path(spark, "tokens"), scratch_path(spark, "sample")
+    jobs.tokenize_job(spark, source, target, tokenize_bytes)
+    jobs.sample_job(spark, target, sample, [0, 1000, 50_000], 25)
+    return spark.read.parquet(sample).agg(F.count("*").alias("samples"))
+
+
+@query(
+    "tokenize_isolated",
+    f"""WITH {tb.SQL_DOCUMENTS}
+    SELECT subset, CASE WHEN subset = '{SUBSET}' THEN 'failed' ELSE 'done' END AS status,
+           CASE WHEN subset <> '{SUBSET}' THEN count(*) END AS samples,
+           CASE WHEN subset <> '{SUBSET}' THEN CAST(sum(strlen(text)) AS BIGINT) END AS num_tokens
+    FROM docs GROUP BY subset""",
+)
+def tokenize_isolated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One subset gets ids beyond 16 bits: its job fails, the others are written."""
+    source, target = _odd_ids(spark, sf_dir), scratch_path(spark, "tokens")
+
+    def tokenize(rows: DataFrame) -> DataFrame:
+        wide = F.when(F.col("subset") == SUBSET, F.array(F.lit(1 << 16))).otherwise(F.col("input_ids"))
+        return tokenize_bytes(rows).withColumn("input_ids", wide)
+
+    stats = jobs.tokenize_job(spark, source, target, tokenize, max_parallel=3)
+    status = spark.read.parquet(target + "_status").select("subset", "status", "samples")
+    return status.join(stats.where("dataset is not null").select("subset", "num_tokens"), "subset", "left")
+
+
+@query(
+    "chunk_in_batches",
+    f"""WITH {tb.SQL_DOCUMENTS}
+    SELECT subset, count(*) AS documents, CAST(sum(strlen(text)) AS BIGINT) AS tokens,
+           CAST(sum(ceil(strlen(text) / 62.0)) AS BIGINT) AS chunks
+    FROM docs GROUP BY subset""",
+)
+def chunk_in_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens and chunks written batch by batch; each run is stopped once and goes on."""
+    source, tokens, chunks, state = (scratch_path(spark, n) for n in ("texts", "tokens", "chunks", "state"))
+    sinks.write_subsets(tb.documents(spark, sf_dir), source)
+    cfg = ChunkConfig(
+        64, bos_id=256, eos_id=257, min_chunk_size=0, always_skip_size=0, backfill=NO_BACKFILL, specials=LOSSLESS
+    )
+    keep = ("dataset", "subset")
+
+    def tokenize(rows: DataFrame) -> DataFrame:
+        return tokenize_bytes(rows).drop("text")
+
+    def twice(path: str, out: str, step, schema) -> None:
+        """Stop in the second batch, after some of its rows may be written, and run again."""
+        seen: list[int] = []
+
+        def stops(rows: DataFrame) -> DataFrame:
+            seen.append(1)
+            if len(seen) == 2:
+                return step(rows).withColumn("len", F.raise_error(F.lit("stopped")).cast("int"))
+            return step(rows)
+
+        try:
+            inc.run_batches(spark, path, out, out + "_state", stops, schema=schema, files_per_batch=3)
+        except Exception as problem:
+            if "stopped" not in str(problem):
+                raise
+        inc.run_batches(spark, path, out, out + "_state", step, schema=schema, files_per_batch=3)
+
+    twice(source, tokens, tokenize, inc.CORPUS_SCHEMA)
+    made = inc.read_batches(spark, tokens)
+    schema = ds.read_dataset(spark, tokens).schema
+    twice(tokens, chunks, lambda df: chunk_dataset(df.drop(inc.BATCH), cfg, keep=keep), schema)
+    cut = inc.read_batches(spark, chunks).groupBy("subset").agg(F.count("*").alias("chunks"))
+    totals = made.groupBy("subset").agg(
+        F.count("*").alias("documents"), F.sum("len").cast("bigint").alias("tokens")
+    )
+    return totals.join(cut, "subset")
