@@ -2,7 +2,8 @@
 
 A run is a sequence of lines with words (lines without are skipped) of at least
 ``min_words`` words. A line is deleted if it lies in such a run that also occurs
-earlier, in a document with a smaller id or further up in its own. The line's
+earlier, in a document with a smaller id or further up in its own, where the two may
+overlap: of one short line repeated many times only the first stays. The line's
 white space at both ends does not count.
 
 Three steps, all on rows much smaller than the text:
@@ -14,7 +15,8 @@ Three steps, all on rows much smaller than the text:
 2. Positions. Windows with a shared fingerprint are joined by their content, and
    the earliest place of each content stays. The match is extended both ways: a
    window grows forward from its line, and its mirror grows backward, so that
-   every line of a longer match lies in one of the two.
+   every line of a longer match lies in one of the two. Two neighbours that are windows by
+   themselves are a window together, which takes the empty lines between them.
 3. Lines in windows whose content has an earlier place are deleted.
 
 Counts and earliest places are combined before the shuffle, and what joins is
@@ -92,6 +94,27 @@ def _windows(lines: Column, min_words: int, backward: bool) -> Column:
     return F.filter(found, lambda x: x.isNotNull())
 
 
+def _neighbours(lines: Column, min_words: int) -> Column:
+    """Two lines with words, one after the other, of which each has enough words alone."""
+
+    def pair(x: Column, y: Column) -> Column:
+        low = F.least(F.struct(x["h"], x["i"]), F.struct(y["h"], y["i"]))
+        return F.struct(
+            x["i"].alias("first"),
+            y["i"].alias("last"),
+            F.xxhash64(F.array(x["h"], y["h"])).alias("k1"),
+            F.xxhash64(F.array(x["g"], y["g"])).alias("k2"),
+            low.alias("low"),
+        )
+
+    both = F.zip_with(
+        lines,
+        F.slice(lines, F.lit(2), F.size(lines)),
+        lambda x, y: F.when((x["n"] >= min_words) & (y["n"] >= min_words), pair(x, y)),
+    )
+    return F.filter(both, lambda x: x.isNotNull())
+
+
 def windows(df: DataFrame, doc_id: str, text: str, min_words: int) -> DataFrame:
     """``id, version, first, last, k1, k2, mark, place``: one row per window of a document."""
 
@@ -100,7 +123,7 @@ def windows(df: DataFrame, doc_id: str, text: str, min_words: int) -> DataFrame:
         backward = let(
             F.reverse(lines), lambda mirror: _windows(mirror, min_words, backward=True)
         )
-        return F.concat(forward, backward)
+        return F.concat(forward, backward, _neighbours(lines, min_words))
 
     found = F.explode(let(_lines(F.col(text)), both)).alias("w")
     return df.where(F.col(text).isNotNull()).select(

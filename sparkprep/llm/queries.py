@@ -101,7 +101,7 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "quality.*").drop("clean_text")
 
 
-# Runs of lines by brute force: every window forward and backward is spelled out as text.
+# Runs of lines by brute force: windows forward, backward and of two neighbours, spelled out as text.
 SQL_LINE_DEDUP = r"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, text FROM documents),
 l AS (
@@ -120,6 +120,8 @@ w AS (
   UNION
   SELECT b.rid, max(a.r), b.r FROM k a JOIN k b
     ON a.rid = b.rid AND a.r BETWEEN b.r - 49 AND b.r AND b.total - a.total + a.n >= 50 GROUP BY b.rid, b.r
+  UNION
+  SELECT a.rid, a.r, b.r FROM k a JOIN k b ON a.rid = b.rid AND b.r = a.r + 1 AND a.n + b.n >= 50
 ),
 c AS (
   SELECT w.rid, min(k.doc_id) AS doc_id, min(k.i) AS first, max(k.i) AS last,

@@ -71,7 +71,18 @@ def test_nulls_repeated_rows_and_long_texts(spark):
     assert (None, "", (0, 1)) in got
     assert (1, None, ()) in got and (2, "", ()) in got and (None, "short", ()) in got
     long = next(g for g in got if g[0] == 9)
-    assert long[2][-2:] == (3000, 3001) and long[1] == "x\n" * 4 + "x"
+    # An earlier place may overlap: the run of five lines at line 1 is that of line 0 again.
+    assert long[2] == tuple(range(1, 3002)) and long[1] == "x"
+
+
+def test_empty_lines_between_long_lines(spark):
+    """Paragraphs with an empty line between them go with it if they were neighbours before."""
+    a, b = "a1 a2 a3 a4 a5", "b1 b2 b3 b4 b5"
+    docs = [(1, f"{a}\n{b}"), (2, f"x\n{a}\n\n \n{b}\ny"), (3, f"{b}\n\n{a}")]
+    got = removed(spark, docs, 5)
+    assert (2, "x\ny", (1, 2, 3, 4)) in got
+    assert (3, "", (0, 2)) in got  # never neighbours in this order: the empty line stays
+    assert got == expected(docs, 5)
 
 
 def test_empty_table(spark):

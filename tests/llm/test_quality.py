@@ -6,7 +6,19 @@ from pyspark.sql import functions as F
 
 from sparkprep.llm.quality import quality
 
-GOOD = "This is a fine sentence, number {}, which says something of its own and then it ends here."
+# Ten sentences without a common run of three words: repeats would fail the base rule.
+GOOD = [
+    "Rain fell over the quiet harbour while fishermen mended their torn nets.",
+    "A baker two streets away opened his shop before anybody else woke up.",
+    "Children carried lanterns through narrow lanes and sang about distant mountains.",
+    "Nobody expected that letter, yet it arrived with Tuesday's morning post.",
+    "Engineers measured every beam twice and found one small crack near its base.",
+    "My aunt grows tomatoes, beans and very large sunflowers behind her cottage.",
+    "Trains from northern cities were late because snow had covered several signals.",
+    "He studied old maps until midnight, hoping to find some forgotten road.",
+    "Most birds leave in autumn, but these sparrows stay all winter long.",
+    "She finally closed the heavy book, smiled, and switched off the lamp.",
+]
 
 
 def judge(spark, texts):
@@ -16,13 +28,13 @@ def judge(spark, texts):
 
 
 def test_lines_and_documents(spark):
-    good = "\n".join(GOOD.format(i) for i in range(10))
+    good = "\n".join(GOOD)
     menu = "Home | News | Sport | Login"
     shout = "BUY! NOW! CHEAP! OFFER!"
     texts = [
         good,
         good + "\n" + menu + "\n" + shout + "\nno end\nAll rights reserved.",
-        "\n".join([menu] * 5 + [GOOD.format(1)]) * 3,
+        "\n".join([menu] * 5 + [GOOD[1]]) * 3,
         None,
         "",
         " \t\n\x0b",
