@@ -13,7 +13,7 @@ from sparkprep.operators.tokenize import token_stats, tokenize_bytes, tokenize_w
 from sparkprep.plans import jobs, tables as tb
 from sparkprep.plans.registry import query
 from sparkprep.session import scratch_path
-from sparkprep.sources import datasets as ds, manifest as mf, sinks
+from sparkprep.sources import datasets as ds, listed as lf, manifest as mf, sinks
 from sparkprep.sources.shards import greedy_shards
 from sparkprep.streaming import incremental as inc
 
@@ -740,3 +740,53 @@ def chunk_in_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count("*").alias("documents"), F.sum("len").cast("bigint").alias("tokens")
     )
     return totals.join(cut, "subset")
+
+
+# ---- scans by manifest, digests ----------------------------------------------
+
+
+@query(
+    "split_scan",
+    f"""WITH {tb.SQL_DOCUMENTS}
+    SELECT subset, count(*) AS samples, CAST(sum(strlen(text)) AS BIGINT) AS bytes, 2 AS files
+    FROM docs GROUP BY subset""",
+)
+def split_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Train and validation, each read from its own files: together every row, once."""
+    source = scratch_path(spark, "texts")
+    half = F.col("sample_idx") % (2 * tb.SUBSETS) < tb.SUBSETS
+    for part in (half, ~half):
+        sinks.write_subsets(tb.documents(spark, sf_dir).where(part).coalesce(1), source, mode="append", rebalance=False)
+    files = lf.located_files(spark, source).withColumn("samples", F.lit(1))
+    labelled = sp.split_manifest(files, train_ratio=TRAIN, val_ratio=VAL, seed=tb.SEED, key=lf.FILE_KEY)
+    rows = [
+        lf.read_split(spark, [source], labelled, name).select(
+            "subset", F.octet_length("text").alias("n"), F.col("_metadata.file_path").alias("f")
+        )
+        for name in ("train", "val")
+    ]
+    return rows[0].unionByName(rows[1]).groupBy("subset").agg(
+        F.count("*").alias("samples"),
+        F.sum("n").cast("bigint").alias("bytes"),
+        F.countDistinct("f").cast("int").alias("files"),
+    )
+
+
+@query(
+    "shard_digests",
+    f"""WITH {tb.SQL_GREEDY_SHARDS},
+    rows_of AS (
+      SELECT g.dataset, g.subset, g.shard_id, g.sample_idx,
+             sha256(coalesce(strlen(c.id) || ':' || c.id, '-') || coalesce(strlen(c.text) || ':' || c.text, '-')) AS d
+      FROM greedy g JOIN corpora c USING (dataset, subset, sample_idx)
+    )
+    SELECT dataset, subset, shard_id, count(*) AS samples, sha256(string_agg(d, '' ORDER BY sample_idx)) AS digest
+    FROM rows_of GROUP BY ALL""",
+)
+def shard_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An ordered digest of every greedy shard; the texts themselves are not moved."""
+    rows = tb.corpora(spark, sf_dir).select(
+        "dataset", "subset", "sample_idx", F.octet_length("text").alias("nbytes"),
+        lf.row_digest("id", "text").alias("row_digest"),
+    )
+    return lf.shard_digests(greedy_shards(rows, F.col("nbytes"), tb.SHARD_LIMIT))
