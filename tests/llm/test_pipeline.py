@@ -96,3 +96,19 @@ def test_mix_is_written_in_training_order(spark):
     got = [r["doc_id"] for f in files for r in spark.read.parquet(f).collect()]
     want = [r["doc_id"] for r in training_order(mix(docs)).collect()]
     assert got == want and len(set(got)) < len(got)
+
+
+def test_columns_named_like_the_stages_own(spark):
+    """Extra columns keep their values, whatever their names; the rules are worked out once."""
+    names = ["quality", "removed", "id", "row", "position", "rest", "_id", "_version", "_lines", "hash", "a.b"]
+    text = "\n".join(f"Line {i} of this text has its own words, w{i} x{i} y{i} z{i}, and then it ends." for i in range(9))
+    rows = [(i, text.replace("own", f"own{i // 2}"), "en", "s", 1, *[f"{n}{i}" for n in names]) for i in range(4)]
+    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint, " + ", ".join(f"`{n}` string" for n in names)
+    docs = spark.createDataFrame(rows, schema)
+    for name, stage in cp.STAGES[:4]:
+        out = stage(spark, docs, "")
+        assert out.columns == docs.columns
+        for r in out.collect():
+            assert [r[n] for n in names] == [f"{n}{r['doc_id']}" for n in names], name
+    plan = cp.quality_rules(spark, docs, "")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("all rights reserved") == 1
