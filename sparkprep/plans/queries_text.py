@@ -16,6 +16,7 @@ from sparkprep.operators.tokenize import (
     tokenize_words_joined,
     uint16_violations,
 )
+from sparkprep.operators.tokenizers import make_tokenizer
 from sparkprep.plans import tables as tb
 from sparkprep.plans.registry import query
 from sparkprep.plans.tables import ids_md5, sql_md5
@@ -323,6 +324,28 @@ def pluggable_tokenizer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _word_ids(rows)
 
 
+class TwoWayCodePoints:
+    """A user tokenizer with both directions: one id per character."""
+
+    def tokenize_batch(self, texts: list[str]) -> list[list[int]]:
+        return [[ord(c) for c in t] for t in texts]
+
+    def detokenize(self, ids: list[int]) -> str:
+        return "".join(map(chr, ids))
+
+
+@query(
+    "tokenizer_round_trip",
+    f"""WITH {tb.SQL_DOCUMENTS}
+    SELECT id, CAST(length(text) + 1 AS INTEGER) AS len, md5(text) AS decoded_md5 FROM docs""",
+)
+def tokenizer_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts closed with the end id, and decoded again, by a tokenizer from the registry."""
+    points = make_tokenizer("custom", factory=TwoWayCodePoints, vocab_size=0x110001, eod=0x110000)
+    ids = points.tokenize(tb.documents(spark, sf_dir), end=True)
+    return points.detokenize(ids).select("id", "len", F.md5("decoded").alias("decoded_md5"))
+
+
 @query(
     "tokenize_failures",
     f"""WITH {tb.SQL_DOCUMENTS}
