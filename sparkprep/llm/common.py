@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from sparkprep.session import scratch_path
+from sparkprep.session import drop_scratch, scratch_path, written
 
 # Fixed value: the white space that separates words everywhere in this subpackage.
 SPACE = r"[\x20\x09-\x0D]+"
@@ -25,6 +25,31 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Tables in the shared folder by name; a new one of a name replaces the old, which is deleted."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: dict[str, str] = {}
+
+    def put(self, name: str, df: DataFrame) -> DataFrame:
+        """Write a table and read it back; ``df`` may read the old table of the name."""
+        table, path = written(df, name)
+        self.drop(name)
+        self.paths[name] = path
+        return table
+
+    def drop(self, *names: str) -> None:
+        for name in names:
+            path = self.paths.pop(name, None)
+            if path:
+                drop_scratch(self.spark, path)
+
+    def drop_but(self, *names: str) -> None:
+        """Delete all tables but these."""
+        self.drop(*[name for name in self.paths if name not in names])
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """Bind a value to a name, so that a lambda inside ``body`` does not compute it again."""
     return F.get(F.transform(F.array(value), body), F.lit(0))

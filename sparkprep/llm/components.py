@@ -3,31 +3,38 @@
 Alternating star contraction: every round points the larger neighbours of a node
 at the smallest node it knows (large star), then the smaller ones (small star),
 until the edges form stars. The number of rounds grows with the logarithm of the
-longest chain. Each round is written to the shared folder.
+longest chain. Each round is written to the shared folder, and the one before deleted.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from sparkprep.llm.common import stored
+from sparkprep.llm.common import Scratch
 
-SALTS = 16
+# A node is hot with this many edges, and with more than this share of all edges' ends.
+HOT_EDGES = 1_000
+HOT_SHARE = 10_000
 
 
-def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
-    """``node, root`` for every node with an edge to another; root is the smallest node reached."""
+def connected_components(
+    edges: DataFrame, a: str = "a", b: str = "b", keep: Scratch | None = None
+) -> DataFrame:
+    """``node, root`` for every node with an edge to another; root is the smallest node reached.
+
+    The result reads the table ``edges`` of ``keep``, which the caller may drop after use.
+    """
     x, y = F.col(a), F.col(b)
-    now = stored(
-        edges.where(x != y).select(F.greatest(x, y).alias("u"), F.least(x, y).alias("v")).distinct(),
-        "edges",
+    keep = keep or Scratch(edges.sparkSession)
+    now = keep.put(
+        "edges", edges.where(x != y).select(F.greatest(x, y).alias("u"), F.least(x, y).alias("v")).distinct()
     )
     state = _digest(now)
     while state[0]:
         both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = _to_smallest(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = _to_smallest(both, state[0]).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = large.where("u != v").distinct()
-        small = _to_smallest(large).select(
+        small = _to_smallest(large, state[0]).select(
             F.explode(
                 F.array(
                     F.struct("u", F.col("m").alias("v")),
@@ -35,7 +42,7 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
                 )
             ).alias("e")
         )
-        now = stored(small.select("e.u", "e.v").where("u != v").distinct(), "edges")
+        now = keep.put("edges", small.select("e.u", "e.v").where("u != v").distinct())
         after = _digest(now)
         if after == state:
             break
@@ -43,19 +50,19 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
-def _to_smallest(pairs: DataFrame) -> DataFrame:
+def _to_smallest(pairs: DataFrame, edges: int) -> DataFrame:
     """Add m, the smallest of u and its neighbours v.
 
-    The smallest one is found with map-side combining. A node with very many
-    neighbours is spread over salts for the join back.
+    The smallest one is found with map-side combining. ``pairs`` has at most two rows per
+    edge, so at most ``2 * HOT_SHARE`` nodes are hot; those are broadcast, and their rows are
+    not shuffled. The rows of all others are joined.
     """
-    smallest = (
-        pairs.groupBy("u")
-        .agg(F.min("v").alias("m"))
-        .select("u", F.least("u", "m").alias("m"), F.explode(F.array(*map(F.lit, range(SALTS)))).alias("_salt"))
-    )
-    salted = pairs.withColumn("_salt", F.pmod(F.hash("v"), F.lit(SALTS)))
-    return salted.join(smallest, ["u", "_salt"]).drop("_salt")
+    least = pairs.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("_n"))
+    least = least.select("u", F.least("u", "m").alias("m"), "_n")
+    hot_at = max(HOT_EDGES, edges // HOT_SHARE)
+    hot = F.broadcast(least.where(F.col("_n") > hot_at).drop("_n"))
+    cold = least.where(F.col("_n") <= hot_at).drop("_n")
+    return pairs.join(hot, "u").unionByName(pairs.join(hot, "u", "left_anti").join(cold, "u"))
 
 
 def _digest(pairs: DataFrame) -> tuple:
