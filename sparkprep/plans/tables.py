@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from sparkprep.functions.arrays import template_single
+from sparkprep.functions.groups import join_null_safe
 from sparkprep.functions.order import prefix_sum
 from sparkprep.operators.bpe import BpeCodec, load_codec, piece_counts, train_bpe
 from sparkprep.operators.evaluate import word_counts
@@ -59,7 +60,7 @@ def conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     starts = ends.select("conv_id", (F.col("_end") - F.col("_turns")).alias("_start"))
     place = F.row_number().over(Window.partitionBy("conv_id").orderBy("turn")) - 1
-    c = c.withColumn("_place", place).join(starts, "conv_id")
+    c = join_null_safe(c.withColumn("_place", place), starts, ["conv_id"])
     order = F.col("_start") + F.col("_place")
     return as_corpus(c, dataset="conversations", number=1, id=key, order=order, subset=subset)
 
