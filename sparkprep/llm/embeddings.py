@@ -4,14 +4,18 @@ Vectors are compared inside a group (a label). Every tree splits a group by rand
 directions: a direction is drawn, the vectors are projected on it, and the two sides
 of a threshold go on separately. Vectors close to the threshold go to both sides
 (spill), so that neighbours are rarely parted. Among several directions and thresholds
-the one with the fewest vectors in its spill is taken, so a dense cluster is not cut
-if there is another place. Leaves are compared within, exactly, in double
-precision. Several trees find what one misses.
+the one is taken that parts the fewest linked pairs of a sample and has few vectors in
+its spill, so a cluster is not cut if there is another place. Leaves are compared
+within, exactly, in double precision. Several trees find what one misses.
 
-Splits are fitted on a sample of at most ``FIT_VECTORS`` vectors per round, on the driver;
-every vector is routed and compared. Leaves that come out too large are split again
-with a sample of their own in the next round. A node whose sample is one dense
-cluster is left whole up to ``DENSE_LEAF``, since splitting it would only lose links.
+A node is left whole, at any size, where many of its sampled pairs are linked and every
+cut would part some of them: there most comparisons find links. Leaves of more than
+``TASK_ROWS`` vectors are dealt into blocks, and each pair of blocks is a group of its own.
+
+Splits are fitted in Spark tasks, leaf by leaf, on about ``FIT_VECTORS`` vectors of each
+leaf; every vector is routed and compared. Leaves that come out too large are split
+again with a sample of their own in the next round. A split is the number of a
+direction, which is drawn again where it is needed, and two thresholds.
 
 Pairs are not written out. A leaf returns for each of its vectors the weight of its
 linked partners and one link toward the root of its component. Two vectors that meet in
@@ -41,17 +45,20 @@ from sparkprep.llm.components import connected_components
 COSINE = 0.93
 TREES = 3
 LEAF = 256
-DENSE_LEAF = 16_384
-FIT_VECTORS = 49_152
+TASK_ROWS = 16_384  # vectors of one block of a large leaf
+FIT_VECTORS = 8_192
 MIN_FIT = 48
 SPILL = 0.06
 CANDIDATES = 6
 SHARES = (0.5, 0.4, 0.6, 0.3, 0.7, 0.2, 0.8, 0.1, 0.9)
+PAIR_SAMPLE = 384  # sampled vectors of a node whose pairs are looked at
+DENSE_SHARE = 0.02  # from this share of linked pairs on a node is dense,
+PARTED = 0.01  # and is cut only if that parts no more of them
 ROUNDS = 6
 SEED = 42
 BLOCK = 1_024
 
-Split = tuple[np.ndarray, float, float]  # direction, and where its spill begins and ends
+Split = tuple[int, float, float]  # number of the direction, and where its spill begins and ends
 
 
 @functools.lru_cache(maxsize=1 << 16)
@@ -60,56 +67,60 @@ def leaf_id(name: str) -> int:
     return int.from_bytes(hashlib.blake2b(name.encode(), digest_size=8).digest(), "big", signed=True)
 
 
+@functools.lru_cache(maxsize=1 << 14)
+def direction(seed: int, leaf: int, node: int, candidate: int, size: int) -> np.ndarray:
+    """A random unit vector that any process draws alike."""
+    drawn = np.random.default_rng([seed, leaf & (1 << 63) - 1, node, candidate]).standard_normal(size)
+    return drawn / np.linalg.norm(drawn)
+
+
 class Forest:
     """Fitted splits: under the id of a leaf, the subtree that replaces it."""
 
     def __init__(self, cosine: float, leaf: int, spill: float, seed: int) -> None:
-        self.half_angle = math.cos(math.acos(cosine) / 2)
+        self.cosine, self.half_angle = cosine, math.cos(math.acos(cosine) / 2)
         self.leaf, self.spill, self.seed = leaf, spill, seed
         self.trees: dict[int, dict[int, Split]] = {}
 
-    def fit(self, leaf: int, sample: np.ndarray, total: int) -> None:
+    def fit(self, leaf: int, sample: np.ndarray, total: int) -> dict[int, Split]:
         """Split one leaf until the expected sizes fit or too few vectors are left to tell."""
         scale = total / len(sample)
-        rng = np.random.default_rng([self.seed, leaf & (1 << 63) - 1])
         nodes: dict[int, Split] = {}
         todo = [(1, np.arange(len(sample)))]
         while todo:
             node, rows = todo.pop()
-            expected = len(rows) * scale
-            if expected <= self.leaf or len(rows) < MIN_FIT:
-                continue
-            if expected <= DENSE_LEAF and self._dense(sample[rows]):
+            if len(rows) * scale <= self.leaf or len(rows) < MIN_FIT:
                 continue
-            split = self._split(sample[rows], rng)
+            split = self._split(leaf, node, sample[rows])
             if split is None:
                 continue
             nodes[node] = split
-            at = sample[rows] @ split[0]
+            at = sample[rows] @ direction(self.seed, leaf, node, split[0], sample.shape[1])
             todo.append((2 * node, rows[at <= split[2]]))
             todo.append((2 * node + 1, rows[at >= split[1]]))
-        if nodes:
-            self.trees[leaf] = nodes
-
-    def _dense(self, x: np.ndarray) -> bool:
-        """Whether most of the vectors are surely linked with each other."""
-        return (_core(x, self.half_angle)).mean() >= 0.8
-
-    def _split(self, x: np.ndarray, rng) -> Split | None:
-        best, found = math.inf, None
-        for _ in range(CANDIDATES):
-            direction = rng.standard_normal(x.shape[1])
-            direction /= np.linalg.norm(direction)
-            at = np.sort(x @ direction)
+        return nodes
+
+    def _split(self, leaf: int, node: int, x: np.ndarray) -> Split | None:
+        """The best of several cuts; none if it would part the links of a dense node."""
+        some = np.linspace(0, len(x) - 1, min(len(x), PAIR_SAMPLE)).astype(int)
+        i, j = np.nonzero(np.triu(x[some] @ x[some].T >= self.cosine, 1))
+        dense = len(i) >= DENSE_SHARE * len(some) * (len(some) - 1) / 2
+        best, found, loss = math.inf, None, 0.0
+        for candidate in range(CANDIDATES):
+            along = x @ direction(self.seed, leaf, node, candidate, x.shape[1])
+            at = np.sort(along)
+            lower = np.minimum(along[some][i], along[some][j])
+            upper = np.maximum(along[some][i], along[some][j])
             half = self.spill * float(at.std())
             for share in SHARES:
                 cut = (at[int(share * (len(at) - 1))] + at[int(share * (len(at) - 1)) + 1]) / 2
                 a, b = np.searchsorted(at, (cut - half, cut + half))
-                cost = (b - a) / len(at) + 0.1 * abs(share - 0.5)
+                parted = float(((upper > cut + half) & (lower < cut - half)).mean()) if len(i) else 0.0
+                cost = (b - a) / len(at) + 0.1 * abs(share - 0.5) + 2 * parted
                 # Both sides must be smaller than the whole.
                 if 0 < a and b < len(at) and cost < best:
-                    best, found = cost, (direction, float(cut - half), float(cut + half))
-        return found
+                    best, found, loss = cost, (candidate, float(cut - half), float(cut + half)), parted
+        return None if dense and loss > PARTED else found
 
     def route(self, leaf: int, x: np.ndarray, rows: np.ndarray):
         """The leaves below ``leaf`` and the rows that reach each."""
@@ -126,10 +137,15 @@ class Forest:
                 else:  # an end of this subtree: a leaf, perhaps split in a later round
                     todo.append((leaf_id(f"{tree}.{node}"), 1, at))
                 continue
-            along = x[at] @ split[0]
+            along = x[at] @ direction(self.seed, tree, node, split[0], x.shape[1])
             todo.append((tree, 2 * node, at[along <= split[2]]))
             todo.append((tree, 2 * node + 1, at[along >= split[1]]))
 
+    def ways(self, starts: tuple[int, ...]) -> tuple[int, ...]:
+        """The trees to follow: all, or one that was not split, which compares all with all."""
+        whole = [s for s in starts if not self.trees.get(s)]
+        return tuple(whole[:1]) or starts
+
 
 def _core(x: np.ndarray, half_angle: float) -> np.ndarray:
     """Vectors within half the linking angle of the mean direction."""
@@ -159,15 +175,14 @@ def _route(forest: Forest, kind: str, batches):
     """Add the sorted ids of all leaves a vector reaches; vectors become bytes."""
     for batch in batches:
         vectors = [np.asarray(v, kind).tobytes() for v in batch.column("vector").to_pylist()]
-        groups = np.array(batch.column("group").to_pylist(), dtype=object)
+        groups: dict[tuple[int, ...], list[int]] = {}
+        for r, starts in enumerate(batch.column("starts").to_pylist()):
+            groups.setdefault(tuple(starts), []).append(r)
         leaves: list[list[int]] = [[] for _ in vectors]
-        for group in dict.fromkeys(groups):
-            rows = np.flatnonzero(groups == group)
-            x = _matrix([vectors[r] for r in rows], kind)
-            for tree in range(TREES):
-                start = leaf_id(f"{group}/{tree}")
-                if tree and start not in forest.trees:
-                    continue  # not split: the first tree has compared all
+        for starts, members in groups.items():
+            rows = np.array(members)
+            x = _matrix([vectors[r] for r in members], kind)
+            for start in forest.ways(starts):
                 for leaf, inside in forest.route(start, x, np.arange(len(rows))):
                     for r in rows[inside].tolist():
                         leaves[r].append(leaf)
@@ -184,51 +199,85 @@ def _route(forest: Forest, kind: str, batches):
 
 def routed(nodes: DataFrame, forest: Forest, kind: str) -> DataFrame:
     """``node, n, vector, leaves`` of every vector."""
-    return nodes.select("node", "n", "group", "vector").mapInArrow(
+    return nodes.select("node", "n", "starts", "vector").mapInArrow(
         functools.partial(_route, forest, kind), "node bigint, n bigint, vector binary, leaves array<bigint>"
     )
 
 
-def build_forest(nodes: DataFrame, forest: Forest, kind: str) -> None:
-    """Fit splits, round by round, until no leaf is too large or none can be split."""
-    for turn in range(ROUNDS):
+def _fit(forest: Forest, kind: str, table: pa.Table) -> pa.Table:
+    """The splits of one leaf from its sample; a node 0 if it stays whole."""
+    order = np.argsort(table.column("draw").to_numpy(), kind="stable")
+    vectors = table.column("vector").to_pylist()
+    packed = [v if isinstance(v, bytes) else np.asarray(v, kind).tobytes() for v in vectors]
+    leaf = table.column("leaf")[0].as_py()
+    nodes = forest.fit(leaf, _matrix([packed[i] for i in order], kind), table.column("size")[0].as_py())
+    rows = [(leaf, node, *split) for node, split in sorted(nodes.items())] or [(leaf, 0, 0, 0.0, 0.0)]
+    names = ["leaf", "split", "candidate", "low", "high"]
+    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.float64(), pa.float64()]
+    return pa.table([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
+
+
+def build_forest(nodes: DataFrame, forest: Forest, kind: str) -> DataFrame | None:
+    """Fit splits, round by round, until every leaf is small or stays whole.
+
+    Returns the sizes of the large leaves, or nothing if no group is large. Only splits come to
+    the driver, 28 bytes each, about one for every ``leaf`` vectors of a tree.
+    """
+    groups = nodes.groupBy("starts").agg(F.count("*").alias("size")).where(F.col("size") > forest.leaf)
+    large = sizes = stored(groups.select(F.explode("starts").alias("leaf"), "size"), "large-leaves")
+    reached = nodes.select("node", F.explode("starts").alias("leaf"), "vector")
+    whole = None
+
+    def fit(leaf_rows: pa.Table) -> pa.Table:
+        return _fit(forest, kind, leaf_rows)
+
+    for _ in range(ROUNDS):
+        if large.isEmpty():
+            break
+        draw = F.pmod(F.xxhash64("leaf", "node", "vector"), F.lit(1 << 30))
+        sample = reached.join(large, "leaf").withColumn("draw", draw)
+        sample = sample.where(F.col("draw") < F.lit(FIT_VECTORS * (1 << 30)) / F.col("size"))
+        splits = stored(
+            sample.select("leaf", "size", "draw", "vector")
+            .groupBy("leaf")
+            .applyInArrow(fit, "leaf bigint, split bigint, candidate int, low double, high double"),
+            "splits",
+        )
+        for leaf, node, *split in zip(*(c.to_pylist() for c in splits.where("split > 0").toArrow().columns)):
+            forest.trees.setdefault(leaf, {})[node] = tuple(split)
+        kept = splits.where("split = 0").select("leaf")
+        whole = kept if whole is None else whole.union(kept)
         reached = routed(nodes, forest, kind).select("node", "vector", F.explode("leaves").alias("leaf"))
-        if turn == 0:
-            # All trees begin alike; the others are fitted with the first.
-            tree = F.explode(F.array(*[F.lit(t) for t in range(TREES)]))
-            name = F.udf(lambda group, t: leaf_id(f"{group}/{t}"), "bigint")
-            counts = nodes.groupBy("group").count().where(F.col("count") > forest.leaf)
-            large = counts.select("group", "count", tree.alias("t")).select(
-                name("group", "t").alias("leaf"), "count", "group"
-            )
-            large = stored(large, "large-leaves")
-            reached = nodes.select("node", "group", "vector")
-            on = "group"
-        else:
-            counts = reached.groupBy("leaf").count()
-            # Fitting aims below the limit; a little above it is not worth another round.
-            large = stored(counts.where(F.col("count") > 4 * forest.leaf), "large-leaves")
-            on = "leaf"
-        total = large.agg(F.sum("count")).first()[0]
-        if not total:
-            return
-        share = min(1.0, 0.95 * FIT_VECTORS / total)
-        draw = F.pmod(F.xxhash64("node", on, F.lit(turn)), F.lit(1 << 30))
-        sample = reached.where(draw < int(share * (1 << 30))).join(large, on).limit(FIT_VECTORS)
-        rows: dict[tuple[int, int], list] = {}
-        taken = sample.select("leaf", "count", "vector").toArrow()
-        for leaf, count, vector in zip(*(c.to_pylist() for c in taken.columns)):
-            packed = vector if isinstance(vector, bytes) else np.asarray(vector, kind).tobytes()
-            rows.setdefault((leaf, count), []).append(packed)
-        before = len(forest.trees)
-        for (leaf, count), vectors in sorted(rows.items()):
-            forest.fit(leaf, _matrix(vectors, kind), count)
-        if len(forest.trees) == before:
-            return
+        counts = reached.groupBy("leaf").agg(F.count("*").alias("size"))
+        # Fitting aims below the limit; a little above it is not worth another round.
+        sizes = stored(counts.where(F.col("size") > min(4 * forest.leaf, TASK_ROWS)), "large-leaves")
+        large = sizes.where(F.col("size") > 4 * forest.leaf).join(whole, "leaf", "left_anti")
+    return sizes if whole is not None else None
+
+
+def in_blocks(leaves: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Rows of leaves for each pair of blocks they are in; small leaves are one block.
+
+    A row of block k is ``right`` in the pairs with smaller blocks and not in the others.
+    """
+    blocks = F.ceil(F.col("size") / TASK_ROWS).cast("int")
+    several = sizes.where(F.col("size") > TASK_ROWS).select("leaf", blocks.alias("blocks"))
+    dealt = leaves.join(several, "leaf", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    dealt = dealt.withColumn("own", F.pmod(F.xxhash64("node", "vector"), F.col("blocks")).cast("int"))
+    pairs = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return pairs.select(
+        "leaf", "node", "n", "vector", "leaves",
+        F.least("own", "other").alias("block_a"),
+        F.greatest("own", "other").alias("block_b"),
+        (F.col("own") > F.col("other")).alias("right"),
+    )
 
 
 def _compare(cosine: float, half_angle: float, kind: str, table: pa.Table) -> pa.Table:
-    """Inside one leaf: for each vector the weight of its partners, and its root."""
+    """Inside one leaf: for each vector the weight of its partners, and its root.
+
+    With rows that are ``right``, these are compared with the others only.
+    """
     node = table.column("node").to_numpy()
     order = np.argsort(node, kind="stable")
     node = node[order]
@@ -243,26 +292,44 @@ def _compare(cosine: float, half_angle: float, kind: str, table: pa.Table) -> pa
     for at, i in enumerate(order):
         listed[at, : len(lists[i])] = lists[i]
         filled[at, : len(lists[i])] = True
+    # Rows that reach the same leaves are of one kind; the links to count depend on kinds only.
+    _, example, kind_of = np.unique(
+        np.hstack([np.where(filled, listed, 0), filled]), axis=0, return_index=True, return_inverse=True
+    )
+    kind_of = kind_of.ravel()
 
+    def counted(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Whether links of kind a with kind b count here, pair by pair."""
+        a, b = example[a], example[b]
+        return _first_shared(listed[a], filled[a], listed[b], filled[b], here)
+
+    sides = [np.arange(len(node))] * 2
+    one_block = True
+    if "right" in table.column_names:
+        right = table.column("right").to_numpy()[order]
+        if right.any():
+            one_block, sides = False, [np.flatnonzero(~right), np.flatnonzero(right)]
+        elif table.column("block_a")[0] != table.column("block_b")[0]:
+            sides = [sides[0], sides[0][:0]]
     links = np.zeros(len(node), np.int64)
     root = np.arange(len(node))
-    core = _core(x, half_angle) if len(np.unique(node)) == len(node) else np.zeros(len(node), bool)
+    distinct = len(np.unique(node)) == len(node)
+    core = _core(x, half_angle) if distinct and len(sides[1]) else np.zeros(len(node), bool)
     if core.sum() > 1:
-        _link_core(np.flatnonzero(core), weight, listed, filled, here, links, root)
-    for a in range(0, len(node), BLOCK):
-        for b in range(a, len(node), BLOCK):
-            left, right = slice(a, a + BLOCK), slice(b, b + BLOCK)
+        _link_core([s[core[s]] for s in sides], one_block, weight, kind_of, counted, links, root)
+    for a in range(0, len(sides[0]), BLOCK):
+        for b in range(a if one_block else 0, len(sides[1]), BLOCK):
+            left, right = sides[0][a : a + BLOCK], sides[1][b : b + BLOCK]
             if core[left].all() and core[right].all():
                 continue
-            i, j = np.nonzero(x[left] @ x[right].T >= cosine)
-            i, j = i + a, j + b
-            new = (i < j) & (node[i] != node[j]) & ~(core[i] & core[j])
-            i, j = i[new], j[new]
-            _union(root, i, j)
-            first = _first_shared(listed[i], filled[i], listed[j], filled[j], here)
-            i, j = i[first], j[first]
-            np.add.at(links, i, weight[j])
-            np.add.at(links, j, weight[i])
+            linked = x[left] @ x[right].T >= cosine
+            linked &= ~(core[left][:, None] & core[right][None, :])
+            if one_block and a == b:
+                linked = np.triu(linked, 1)
+            if not distinct:
+                linked &= node[left][:, None] != node[right][None, :]
+            _union_linked(root, left, right, linked)
+            _count_linked(linked, left, right, weight, kind_of, counted, links)
     some = (links > 0) | (root < np.arange(len(node)))
     return pa.table(
         [pa.array(node[some]), pa.array(links[some]), pa.array(node[root[some]])],
@@ -270,20 +337,51 @@ def _compare(cosine: float, half_angle: float, kind: str, table: pa.Table) -> pa
     )
 
 
-def _link_core(rows, weight, listed, filled, here, links, root) -> None:
-    """Link all of ``rows`` with each other, by kinds of rows that reach the same leaves."""
-    root[rows] = rows.min()
-    signed = np.where(filled[rows], listed[rows], 0)
-    kinds, kind_of = np.unique(signed, axis=0, return_inverse=True)
-    kind_of = kind_of.ravel()
-    example = np.zeros(len(kinds), int)
-    example[kind_of] = rows
-    weights = np.bincount(kind_of, weight[rows], len(kinds)).astype(np.int64)
-    for k in range(len(kinds)):
-        one = np.full(len(kinds), example[k])
-        counts = _first_shared(listed[one], filled[one], listed[example], filled[example], here)
-        mine = rows[kind_of == k]
-        links[mine] += weights[counts].sum() - (weight[mine] if counts[k] else 0)
+def _count_linked(linked, left, right, weight, kind_of, counted, links) -> None:
+    """Add the weights of linked partners, as far as the links count here."""
+    found = np.count_nonzero(linked)
+    if not found:
+        return
+    kinds_a, of_a = np.unique(kind_of[left], return_inverse=True)
+    kinds_b, of_b = np.unique(kind_of[right], return_inverse=True)
+    if len(kinds_a) * len(kinds_b) <= found:
+        pairs = counted(np.repeat(kinds_a, len(kinds_b)), np.tile(kinds_b, len(kinds_a)))
+        linked = linked & pairs.reshape(len(kinds_a), -1)[of_a][:, of_b]
+        ones = linked.astype(float)  # sums of whole numbers, exact
+        links[left] += (ones @ weight[right].astype(float)).astype(np.int64)
+        links[right] += (weight[left].astype(float) @ ones).astype(np.int64)
+        return
+    i, j = np.nonzero(linked)
+    first = counted(kind_of[left][i], kind_of[right][j])
+    i, j = left[i[first]], right[j[first]]
+    np.add.at(links, i, weight[j])
+    np.add.at(links, j, weight[i])
+
+
+def _link_core(sides, one_block, weight, kind_of, counted, links, root) -> None:
+    """Link all rows of two sides (or of one block) with each other, kind by kind."""
+    if not len(sides[0]) or not len(sides[1]):
+        return
+    both = np.concatenate(sides)
+    root[both] = both.min()
+    for mine, others in [sides] if one_block else [sides, sides[::-1]]:
+        kinds = np.unique(kind_of[others])
+        weights = np.bincount(np.searchsorted(kinds, kind_of[others]), weight[others], len(kinds)).astype(np.int64)
+        for k in np.unique(kind_of[mine]):
+            first = counted(np.full(len(kinds), k), kinds)
+            rows = mine[kind_of[mine] == k]
+            own = one_block and first[np.searchsorted(kinds, k)]
+            links[rows] += weights[first].sum() - (weight[rows] if own else 0)
+
+
+def _union_linked(root, left, right, linked) -> None:
+    """Join the components of linked rows; one partner of each row at a time."""
+    while True:
+        apart = linked & (root[left][:, None] != root[right][None, :])
+        rows = np.flatnonzero(apart.any(axis=1))
+        if not len(rows):
+            return
+        _union(root, left[rows], right[apart[rows].argmax(axis=1)])
 
 
 def _union(root: np.ndarray, i: np.ndarray, j: np.ndarray) -> None:
@@ -339,21 +437,25 @@ def near_duplicates(
         "copies",
     )
     marked = valid.join(copies, ["k1", "k2"], "left")
-    fields = ["node", "n", "group", "vector"]
-    single = marked.where("n is null").select(F.col("vec_id").alias("node"), F.lit(1).cast("bigint").alias("n"), "group", "vector")
-    several = marked.where("vec_id = node").dropDuplicates(["k1", "k2"]).select(*fields)
+    starts = F.array(*[F.xxhash64("group", F.lit(t)) for t in range(TREES)]).alias("starts")
+    one = F.lit(1).cast("bigint").alias("n")
+    single = marked.where("n is null").select(F.col("vec_id").alias("node"), one, starts, "vector")
+    several = marked.where("vec_id = node").dropDuplicates(["k1", "k2"]).select("node", "n", starts, "vector")
     nodes = single.union(several)
 
     forest = Forest(cosine, leaf, spill, seed)
-    build_forest(nodes, forest, kind)
+    sizes = build_forest(nodes, forest, kind)
     leaves = routed(nodes, forest, kind).withColumn("leaf", F.explode("leaves"))
+    keys_of_task = ["leaf"]
+    if sizes is not None:
+        leaves, keys_of_task = in_blocks(leaves, sizes), ["leaf", "block_a", "block_b"]
     half_angle = forest.half_angle
 
     def compare(leaf_rows: pa.Table) -> pa.Table:
         return _compare(cosine, half_angle, kind, leaf_rows)
 
     found = stored(
-        leaves.groupBy("leaf").applyInArrow(compare, "node bigint, links bigint, root bigint"),
+        leaves.groupBy(*keys_of_task).applyInArrow(compare, "node bigint, links bigint, root bigint"),
         "leaf-links",
     )
     roots = connected_components(found.select(F.col("node").alias("a"), F.col("root").alias("b")))

@@ -107,3 +107,41 @@ def test_dense_leaf_is_counted_without_pairs():
     fast = run(np.cos(np.arccos(0.93) / 2), "<f4", table).to_pylist()
     slow = run(2.0, "<f4", table).to_pylist()  # no vector is that close to the mean
     assert fast == slow and len(fast) > 100
+
+
+def loose_cluster(rng, n, cosine, dim=64):
+    """Vectors around one direction with pairwise cosines near ``cosine``."""
+    noise = rng.standard_normal((n, dim)) * np.sqrt((1 / cosine - 1) / dim)
+    center = rng.standard_normal(dim)
+    return center / np.linalg.norm(center) + noise
+
+
+@pytest.mark.parametrize("sizes, cosine", [((1024,), 0.945), ((2048, 3000), 0.95), ((1024, 9000), 0.945)])
+def test_loose_clusters(spark, monkeypatch, sizes, cosine):
+    """Recall of links at least 0.9, none wrong; with blocks smaller than the cluster."""
+    monkeypatch.setattr(embeddings, "TASK_ROWS", 700)
+    rng = np.random.default_rng(1)
+    parts = [loose_cluster(rng, sizes[0], cosine), *(rng.standard_normal((n, 64)) for n in sizes[1:])]
+    x = np.concatenate(parts).astype(np.float32)
+    rows = [(i, v.tolist(), 1, "") for i, v in enumerate(x)]
+    out = near_duplicates(spark.createDataFrame(rows, SCHEMA)).orderBy("vec_id").collect()
+    unit = x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
+    want = ((unit @ unit.T) >= 0.93).sum(axis=1) - 1
+    got = np.array([r["n_links"] for r in out])
+    assert (got <= want).all()
+    assert got.sum() >= 0.9 * want.sum()
+    if len(sizes) == 1:
+        assert (got == want).all()
+    assert [r["component_id"] for r in out if want[r["vec_id"]]].count(0) >= 0.95 * sizes[0]
+
+
+def test_blocks_of_a_tight_cluster(spark, monkeypatch):
+    """Links counted from the core across blocks, with copies, equal brute force."""
+    monkeypatch.setattr(embeddings, "TASK_ROWS", 60)
+    rng = np.random.default_rng(2)
+    x = np.concatenate([loose_cluster(rng, 260, 0.985, 16), rng.standard_normal((40, 16))]).astype(np.float32)
+    rows = [(i, v.tolist(), 1, "") for i, v in enumerate(x)] + [(400 + i, x[i].tolist(), 1, "") for i in range(30)]
+    out = near_duplicates(spark.createDataFrame(rows, SCHEMA), leaf=64).orderBy("vec_id").collect()
+    links, roots = brute(rows)
+    assert [r["n_links"] for r in out] == links
+    assert [r["component_id"] for r in out] == roots
