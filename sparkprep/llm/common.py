@@ -32,9 +32,13 @@ class Scratch:
         self.spark = spark
         self.paths: dict[str, str] = {}
 
-    def put(self, name: str, df: DataFrame) -> DataFrame:
-        """Write a table and read it back; ``df`` may read the old table of the name."""
-        table, path = written(df, name)
+    def put(self, name: str, df: DataFrame, packed: bool = False) -> DataFrame:
+        """Write a table and read it back; ``df`` may read the old table of the name.
+
+        A ``packed`` one is shuffled once more into files of even, full size: for narrow tables
+        that many small jobs read, where each file of a few rows would be a task in all of them.
+        """
+        table, path = written(df.hint("rebalance") if packed else df, name)
         self.drop(name)
         self.paths[name] = path
         return table

@@ -27,7 +27,8 @@ def connected_components(
     x, y = F.col(a), F.col(b)
     keep = keep or Scratch(edges.sparkSession)
     now = keep.put(
-        "edges", edges.where(x != y).select(F.greatest(x, y).alias("u"), F.least(x, y).alias("v")).distinct()
+        "edges", edges.where(x != y).select(F.greatest(x, y).alias("u"), F.least(x, y).alias("v")).distinct(),
+        packed=True,
     )
     state = _digest(now)
     while state[0]:
@@ -42,7 +43,7 @@ def connected_components(
                 )
             ).alias("e")
         )
-        now = keep.put("edges", small.select("e.u", "e.v").where("u != v").distinct())
+        now = keep.put("edges", small.select("e.u", "e.v").where("u != v").distinct(), packed=True)
         after = _digest(now)
         if after == state:
             break
