@@ -155,7 +155,9 @@ def near_duplicates(
     nodes = stored(
         rows.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")), "nodes"
     )
-    roots = connected_components(links(nodes.select("fp"), wide_key))
+    found = connected_components(links(nodes.select("fp"), wide_key))
+    # A component's root is a member, too; ``found`` lists only those that point at it.
+    roots = found.union(found.select("root", "root").distinct())
     named = nodes.join(roots, nodes["fp"] == roots["node"], "left").withColumn(
         "root", F.coalesce("root", "fp")
     )
