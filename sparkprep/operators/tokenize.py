@@ -15,6 +15,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from sparkprep.functions.arrays import fits_uint16, template_single
+from sparkprep.functions.batches import parts
 from sparkprep.functions.groups import rollup_sums
 from sparkprep.functions.text import byte_ids, nfc, words
 from sparkprep.operators.bpe import BpeCodec, encode
@@ -128,9 +129,9 @@ def tokenize_with(
     """Ids from any tokenizer.
 
     ``factory`` is called once per Python worker and may load what it likes
-    there; texts arrive in Arrow batches. With ``errors='record'`` a text the
-    tokenizer rejects gets null ids and the message in ``error``, and the rest
-    of its batch goes on.
+    there; texts arrive in Arrow batches, which it gets in parts of bounded size. With
+    ``errors='record'`` a text the tokenizer rejects gets null ids and the message in
+    ``error``, and the rest of its batch goes on.
     """
     if errors not in ("raise", "record"):
         raise ValueError(f"unknown errors mode {errors!r}")
@@ -141,7 +142,8 @@ def tokenize_with(
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         tokenizer = factory()
         for batch in batches:
-            yield _tokenized(tokenizer, batch.to_pylist(), keep_going)
+            for part in parts(batch):
+                yield _tokenized(tokenizer, part.to_pylist(), keep_going)
 
     done = df.withColumn("_result", run.asNondeterministic()(F.col(text))).withColumn("input_ids", F.col("_result.ids"))
     if keep_going:

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from sparkprep.functions.batches import PART_ITEMS, by_parts, parts
 from sparkprep.operators import bpe
+from sparkprep.operators.tokenize import tokenize_with
 from sparkprep.operators.tokenizers import CorpusTokenizer, make_tokenizer, register
 
 TEXTS = ["one two one", "two", "", None, "three one"]
@@ -71,3 +74,35 @@ def test_custom_and_registering(spark):
         register("BYTES")(upper)
     with pytest.raises(ValueError, match="unknown"):
         make_tokenizer("none")
+
+
+def bounded(most=PART_ITEMS):
+    """Code points by a tokenizer that refuses to hold more than a part at once."""
+
+    class Bounded:
+        def tokenize_batch(self, texts):
+            assert len(texts) == 1 or sum(len(t or "") for t in texts) <= most, "too much at once"
+            return [None if t is None else [ord(c) for c in t] for t in texts]
+
+    return Bounded
+
+
+def long_texts(spark):
+    rows = spark.range(0, 1500, 1, 1).withColumnRenamed("id", "i")
+    long = F.when(F.col("i") % 100 == 7, None).otherwise(F.repeat(F.lit("abcd"), F.lit(100)))
+    return rows.withColumn("text", F.when(F.col("i") == 5, F.repeat(F.lit("x"), F.lit(PART_ITEMS + 9))).otherwise(long))
+
+
+def test_a_tokenizer_gets_bounded_parts(spark):
+    done = tokenize_with(long_texts(spark), bounded())
+    back = F.array_join(F.transform("input_ids", lambda c: F.char(c)), "")
+    assert done.where(~back.eqNullSafe(F.col("text"))).count() == 0
+    assert done.where("len is null or input_ids is null").count() == 15 and done.count() == 1500
+
+
+def test_parts_keep_all_rows():
+    lists = pa.array([[1, 2, 3], None, [], [4], [5, 6, 7, 8, 9], [1]], pa.list_(pa.int32()))
+    for most in (1, 3, 4, 100):
+        for batch in (lists, lists.slice(1, 4), lists.slice(6)):
+            assert by_parts(lambda p: p, batch, most).to_pylist() == batch.to_pylist()
+    assert [len(p) for p in parts(lists, 4)] == [4, 1, 1]
