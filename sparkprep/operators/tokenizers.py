@@ -16,6 +16,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from sparkprep.functions.batches import parts
 from sparkprep.functions.text import BYTE_VOCAB_SIZE, byte_text
 from sparkprep.operators.bpe import BpeCodec, decode
 from sparkprep.operators.tokenize import tokenize_bpe, tokenize_bytes, tokenize_with, tokenize_words
@@ -144,8 +145,9 @@ def _custom(
         def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             tokenizer = factory()
             for batch in batches:
-                texts = [None if x is None else tokenizer.detokenize(x) for x in batch.to_pylist()]
-                yield pa.array(texts, pa.string())
+                for part in parts(batch):
+                    texts = [None if x is None else tokenizer.detokenize(x) for x in part.to_pylist()]
+                    yield pa.array(texts, pa.string())
 
         return run.asNondeterministic()(ids)
 
