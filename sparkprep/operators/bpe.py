@@ -25,6 +25,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from sparkprep.functions.batches import by_parts
 from sparkprep.functions.text import pre_tokenize, with_prefix_space
 from sparkprep.operators.vocab import SPECIAL_TOKENS, bounded_rows
 from sparkprep.session import drop_scratch, written
@@ -498,14 +499,13 @@ def pieces_with_added(text: str | Column, added: Sequence[str] = ()) -> Column:
 
 
 def encode_pieces(pieces: Column, codec: BpeCodec) -> Column:
-    """Token ids of an array of pieces; each distinct piece of a batch is merged once.
+    """Token ids of an array of pieces; each distinct piece of a part of a batch is merged once.
 
     The function is declared nondeterministic although it is not: Spark then
     neither repeats it to push a filter down nor copies the expressions around it.
     """
 
-    @F.arrow_udf(T.ArrayType(T.IntegerType()))
-    def encode(batch: pa.Array) -> pa.Array:
+    def encoded(batch: pa.Array) -> pa.Array:
         offsets = np.asarray(batch.offsets, dtype=np.int64)
         flat = batch.values.slice(offsets[0], offsets[-1] - offsets[0])
         coded = flat.dictionary_encode() if len(flat) else None
@@ -525,6 +525,10 @@ def encode_pieces(pieces: Column, codec: BpeCodec) -> Column:
         new_offsets = ends[offsets - offsets[0]].astype(np.int32)
         return _lists(new_offsets, pa.array(table[take]), batch)
 
+    @F.arrow_udf(T.ArrayType(T.IntegerType()))
+    def encode(batch: pa.Array) -> pa.Array:
+        return by_parts(encoded, batch)
+
     return encode.asNondeterministic()(pieces)
 
 
@@ -538,16 +542,20 @@ def decode(ids: str | Column, codec: BpeCodec) -> Column:
 
     raw = pa.array(codec.raw, pa.binary())
 
-    @F.arrow_udf(T.StringType())
-    def text_of(batch: pa.Array) -> pa.Array:
-        flat = _lists(np.asarray(batch.offsets), raw.take(batch.values), batch)
-        joined = pc.binary_join(flat, b"")
+    def decoded(batch: pa.Array) -> pa.Array:
+        offsets = np.asarray(batch.offsets)
+        values = batch.values.slice(offsets[0], offsets[-1] - offsets[0])
+        joined = pc.binary_join(_lists(offsets - offsets[0], raw.take(values), batch), b"")
         try:
             return joined.cast(pa.string())
         except pa.ArrowInvalid:  # some bytes are no UTF-8
             texts = [None if x is None else x.decode("utf-8", "replace") for x in joined.to_pylist()]
             return pa.array(texts, pa.string())
 
+    @F.arrow_udf(T.StringType())
+    def text_of(batch: pa.Array) -> pa.Array:
+        return by_parts(decoded, batch)
+
     return text_of.asNondeterministic()(F.col(ids) if isinstance(ids, str) else ids)
 
 

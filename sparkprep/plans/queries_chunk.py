@@ -269,7 +269,9 @@ def prefix_space(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Chunks of learned tokens all open with a space, and there are as many as without."""
     cls, sep = chunk_special_ids(tb.trained(spark, sf_dir)[0])
     codec = tb.codec(spark, sf_dir)
-    tokens = tokenize_bpe(tb.documents(spark, sf_dir), codec)
+    tokens = tokenize_bpe(tb.documents(spark, sf_dir), codec).drop("text")
+    # Written first, as a job does: every Python step of a pass is a worker beside each core.
+    tokens = tb.stored(tokens, "tokens")
     cfg = replace(BASE, bos_id=cls, eos_id=sep, backfill=MOVE)
     rows = chunk_dataset(tokens, cfg, reencode=bpe.prefix_space_step(codec))
     inside = drop_ids("input_ids", [cls, sep])
