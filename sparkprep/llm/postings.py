@@ -176,11 +176,15 @@ def _plans(cut: DataFrame, index: DataFrame) -> tuple[DataFrame, DataFrame]:
     return plans.where("plan[0].n > 0").select("win", "plan"), postings
 
 
-def _agree(starts: np.ndarray, moved: np.ndarray, slop: int) -> np.ndarray:
-    """The starts that have a place of ``moved`` within ``slop``."""
-    at = np.searchsorted(moved, starts - slop)
-    inside = at < len(moved)
-    return starts[inside][moved[at[inside]] <= starts[inside] + slop]
+def _agree(starts: np.ndarray, places: np.ndarray, offset: int, slop: int) -> np.ndarray:
+    """The starts that have a place within ``slop`` of ``offset`` behind them.
+
+    The few starts are moved, not the list of places; both are of one type, which saves a copy.
+    """
+    at = np.searchsorted(places, starts + (offset - slop))
+    inside = at < len(places)
+    kept = starts[inside]
+    return kept[places[at[inside]] <= kept + (offset + slop)]
 
 
 def _match(slop: int, postings: pa.Table, asked: pa.Table) -> pa.Table:
@@ -199,23 +203,24 @@ def _match(slop: int, postings: pa.Table, asked: pa.Table) -> pa.Table:
     exact: dict[int, tuple[list, list]] = {}
     near: dict[int, list] = {}
     none = np.zeros(0, np.int32)
-    steps = np.arange(-slop, slop + 1)
+    steps = np.arange(-slop, slop + 1, dtype=np.int32)
     for win, plan in zip(asked.column("win").to_pylist(), asked.column("plan").to_pylist()):
-        lists_of = [at.get(p["term"], none) - p["offset"] for p in plan]
-        if not all(len(x) for x in lists_of):
+        lists_of = [(at.get(p["term"], none), p["offset"]) for p in plan]
+        if not all(len(x) for x, _ in lists_of):
             continue
-        loose = np.unique((lists_of[0][:, None] + steps).ravel())
-        for moved in lists_of[1:]:
-            loose = _agree(loose, moved, slop)
+        first = lists_of[0][0] - lists_of[0][1]
+        loose = np.unique((first[:, None] + steps).ravel())
+        for places, offset in lists_of[1:]:
+            loose = _agree(loose, places, offset, slop)
             if not len(loose):
                 break
         if not len(loose):
             continue  # a phrase is a proximity match too
         for doc in np.unique(np.searchsorted(bases, loose + slop, "right") - 1).tolist():
             near.setdefault(doc, []).append(win)
-        starts = _agree(loose, lists_of[0], 0)
-        for moved in lists_of[1:]:
-            starts = _agree(starts, moved, 0)
+        starts = loose
+        for places, offset in lists_of:
+            starts = _agree(starts, places, offset, 0)
         docs = np.searchsorted(bases, starts, "right") - 1
         for doc in np.unique(docs).tolist():
             own = starts[docs == doc] - bases[doc]
