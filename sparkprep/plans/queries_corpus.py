@@ -756,7 +756,9 @@ def split_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = scratch_path(spark, "texts")
     half = F.col("sample_idx") % (2 * tb.SUBSETS) < tb.SUBSETS
     for part in (half, ~half):
-        sinks.write_subsets(tb.documents(spark, sf_dir).where(part).coalesce(1), source, mode="append", rebalance=False)
+        # One file of a subset is one task's; every subset has a task of its own.
+        rows = tb.documents(spark, sf_dir).where(part).repartitionByRange(2 * tb.SUBSETS, "subset")
+        sinks.write_subsets(rows, source, mode="append", rebalance=False)
     files = lf.located_files(spark, source).withColumn("samples", F.lit(1))
     labelled = sp.split_manifest(files, train_ratio=TRAIN, val_ratio=VAL, seed=tb.SEED, key=lf.FILE_KEY)
     rows = [
