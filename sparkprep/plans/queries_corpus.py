@@ -695,6 +695,9 @@ def tokenize_isolated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return status.join(stats.where("dataset is not null").select("subset", "num_tokens"), "subset", "left")
 
 
+BATCHES = 3
+
+
 @query(
     "chunk_in_batches",
     f"""WITH {tb.SQL_DOCUMENTS}
@@ -717,6 +720,8 @@ def chunk_in_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     def twice(path: str, out: str, step, schema) -> None:
         """Stop in the second batch, after some of its rows may be written, and run again."""
         seen: list[int] = []
+        # A few batches, however many files there are: each is wide enough for all cores.
+        files = max(3, lf.located_files(spark, path).count() // BATCHES)
 
         def stops(rows: DataFrame) -> DataFrame:
             seen.append(1)
@@ -725,11 +730,11 @@ def chunk_in_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
             return step(rows)
 
         try:
-            inc.run_batches(spark, path, out, out + "_state", stops, schema=schema, files_per_batch=3)
+            inc.run_batches(spark, path, out, out + "_state", stops, schema=schema, files_per_batch=files)
         except Exception as problem:
             if "stopped" not in str(problem):
                 raise
-        inc.run_batches(spark, path, out, out + "_state", step, schema=schema, files_per_batch=3)
+        inc.run_batches(spark, path, out, out + "_state", step, schema=schema, files_per_batch=files)
 
     twice(source, tokens, tokenize, inc.CORPUS_SCHEMA)
     made = inc.read_batches(spark, tokens)
