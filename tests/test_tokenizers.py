@@ -106,3 +106,24 @@ def test_parts_keep_all_rows():
         for batch in (lists, lists.slice(1, 4), lists.slice(6)):
             assert by_parts(lambda p: p, batch, most).to_pylist() == batch.to_pylist()
     assert [len(p) for p in parts(lists, 4)] == [4, 1, 1]
+
+
+def test_decoding_gets_bounded_parts(spark):
+    """The whole column comes in one batch; a detokenizer's texts are freed part by part."""
+    made = long_texts(spark).where("i != 5 and text is not null").withColumn("ids", F.split("text", "").cast("array<string>"))
+    ids = made.withColumn("input_ids", F.transform("ids", lambda c: F.ascii(c))).drop("ids")
+    limit = PART_ITEMS // 400
+
+    class Counting:
+        """Refuses when its caller's list of id lists is longer than a part's."""
+
+        def detokenize(self, row):
+            import inspect
+
+            held = inspect.currentframe().f_back.f_locals.get("part")
+            assert held is not None and len(held) <= limit + 1, "too much at once"
+            return "".join(map(chr, row))
+
+    t = make_tokenizer("custom", factory=Counting, vocab_size=256)
+    back = t.detokenize(ids)
+    assert back.where("decoded = text").count() == 1484
