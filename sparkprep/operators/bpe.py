@@ -10,6 +10,9 @@ Training counts all pairs once. After that a round looks only at pieces that hol
 pair: what they had before is taken off the counts and what they have now is added. The driver
 keeps the most frequent pairs (``PairPool``); the pieces stay where they are. Pieces keep the
 symbols they began with, so a plain substring test finds those a merge can touch.
+
+Pieces are cut first where two bytes meet that are too rare together to be merged (``_parts``).
+Rounds then work on the distinct parts, of which a larger corpus has hardly more.
 """
 
 from __future__ import annotations
@@ -36,6 +39,9 @@ POOL_PAIRS = 65_536
 # round: more would make the expression that applies them too long.
 PENDING_MERGES = 32
 LOOSE_SHARE = 0.5
+# Byte pairs beside which pieces stay whole, for every merge that is still to come.
+WHOLE_PAIRS = 2
+BYTE_PAIRS = 1 << 16
 
 _FIRST_CODE = 0x100
 _SURROGATES = 0xD800, 0x800
@@ -149,6 +155,32 @@ def _count_pool(symbols: DataFrame, lengths: list[int], longest: int, size: int)
     return PairPool({r["pair"]: r["n"] for r in rows[:size]}, floor, size)
 
 
+def _byte_pairs(pieces: DataFrame, merges: int) -> list[tuple[str, int]]:
+    """All pairs of bytes with their counts, most frequent first; none if that many merges need them all."""
+    if WHOLE_PAIRS * merges >= BYTE_PAIRS:
+        return []
+    rows = pair_counts(pieces, "start").where(F.substring("pair", 1, 1) >= chr(_FIRST_CODE)).collect()
+    return sorted(((r["pair"], r["n"]) for r in rows), key=_by_rank)
+
+
+def _parts(pieces: DataFrame, kept: Iterable[str]) -> DataFrame:
+    """``start, n``: the pieces cut between two bytes that are no pair of ``kept``, counted.
+
+    A pair of tokens has at most as many occurrences as the two bytes it meets with. So while
+    all merges are more frequent than any pair of bytes that is cut, none crosses a cut, and the
+    counts of all others are those of the whole pieces.
+    """
+    after: dict[str, list[str]] = {}
+    for pair in kept:
+        after.setdefault(pair[0], []).append(pair[1])
+    starts = "".join(sorted(after))
+    ends = [f"{a}(?![{''.join(sorted(b))}])" for a, b in sorted(after.items())]
+    last = "|".join([*ends, f"[^{starts}]"] if starts else ["(?s:.)"])
+    cut = F.regexp_replace("start", F.lit(f"({last})"), F.lit("$1 "))
+    parts = pieces.select(F.explode(F.split(cut, " ")).alias("start"), "n").where(F.length("start") > 1)
+    return parts.groupBy("start").agg(F.sum("n").alias("n"))
+
+
 def _changes(symbols: DataFrame, floor: int) -> list[tuple[str, int]]:
     """How pair counts differ between ``was`` and ``symbols``, over the pieces that may have changed.
 
@@ -181,7 +213,8 @@ def train_bpe(
     One round takes the best ``candidates`` pairs of the pool and applies as many merges as
     are certain to come next in the one-at-a-time order (``_certain_merges``), so the result
     is the same as with one merge per round. Ties go to the pair with the smaller ids. When
-    the pool cannot tell the best pair any more, all pairs are counted again.
+    the pool cannot tell the best pair any more, all pairs are counted again. The same holds
+    when a merge would be as rare as a pair of bytes that was cut; pieces are cut less then.
 
     ``exact=False`` is for large vocabularies: a round also takes pairs whose place in the order
     is not certain, if they are independent of the others and have at least ``LOOSE_SHARE`` of the
@@ -204,13 +237,31 @@ def train_bpe(
     source = "".join(chr(CHAR_BYTES[c]) for c in ordered)
     target = "".join(token_code(ids[c]) for c in ordered)
     start = F.translate(latin, source, target)
-    symbols = counts.select(start.alias("start"), start.alias("symbols"), "n").where(F.length("start") > 1)
+    pieces = counts.select(start.alias("start"), "n").where(F.length("start") > 1)
     # The loop is bound by CPU, so it uses every core even when the table is small, and
     # more tasks than cores when it is large.
     spark = counts.sparkSession
-    symbols, path = written(symbols, "pieces")
-    width = max(spark.sparkContext.defaultParallelism, symbols.count() // PIECES_PER_TASK)
-    symbols = symbols.repartition(width, "symbols").persist()
+    pieces, whole = written(pieces, "pieces")
+
+    def spread_out(table: DataFrame) -> DataFrame:
+        width = max(spark.sparkContext.defaultParallelism, table.count() // PIECES_PER_TASK)
+        return table.repartition(width, "symbols").persist()
+
+    def parts_above(rank: int) -> tuple[DataFrame, str, int]:
+        """The parts that the pairs up to this rank leave, merged as far as it goes; the least count of a merge there."""
+        least = byte_pairs[rank - 1][1] if rank < len(byte_pairs) else 0
+        table = _parts(pieces, [p for p, n in byte_pairs if n >= least]) if least else pieces
+        table, place = written(table.select("start", F.col("start").alias("symbols"), "n"), "pieces")
+        done = [m[:3] for m in learned.merges]
+        for at in range(0, len(done), pending_merges):
+            now = table.select("start", _merged(F.col("symbols"), done[at : at + pending_merges]).alias("symbols"), "n")
+            before, (table, place) = place, written(now, "pieces")
+            drop_scratch(spark, before)
+        return spread_out(table), place, least
+
+    byte_pairs = _byte_pairs(pieces, vocab_size - len(learned.tokens))
+    rank = max(1, int(WHOLE_PAIRS * (vocab_size - len(learned.tokens))))
+    symbols, path, least = parts_above(rank)
     # Merges learned since the pieces were written; a round applies them where it reads.
     pending: list[tuple[int, int, int]] = []
     pool: PairPool | None = None
@@ -219,6 +270,14 @@ def train_bpe(
             now = symbols.select(_merged(F.col("symbols"), pending).alias("symbols"), "n")
             pool = _count_pool(now, lengths, max_token_length, pool_pairs)
         best, rest = pool.best(candidates)
+        if least and (best[0][1] < least if best else not pool.floor or pool.fresh):
+            # Pairs across the cuts may come next.
+            symbols.unpersist()
+            drop_scratch(spark, path)
+            rank *= 4
+            symbols, path, least = parts_above(rank)
+            pending, pool = [], None
+            continue
         if not best:
             if not pool.floor or pool.fresh:
                 break
@@ -232,7 +291,7 @@ def train_bpe(
         fresh: list[tuple[int, int, int]] = []
         recount = False
         for a, b, n in chosen[:pending_merges]:
-            if len(learned.tokens) >= vocab_size:
+            if len(learned.tokens) >= vocab_size or n < least:
                 break
             token = learned.tokens[a] + learned.tokens[b]
             new = ids.setdefault(token, len(learned.tokens))
@@ -261,11 +320,12 @@ def train_bpe(
             done = symbols.select("start", _merged(F.col("symbols"), pending).alias("symbols"), "n")
             kept, newer = written(done.where(F.length("symbols") > 1), "pieces")
             symbols.unpersist()
-            symbols = kept.repartition(width, "symbols").persist()
+            symbols = spread_out(kept)
             drop_scratch(spark, path)
             path, pending = newer, []
     symbols.unpersist()
     drop_scratch(spark, path)
+    drop_scratch(spark, whole)
     return learned
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import random
 
 import brute
 import pytest
@@ -101,6 +102,36 @@ def test_small_pools_learn_the_same(spark, learned, texts, pool, pending):
     assert (tight.tokens, tight.merges) == (plain.tokens, plain.merges)
 
 
+def test_rare_pieces_do_not_widen_the_rounds(spark, monkeypatch):
+    """Three thousand pieces of rare byte pairs: rounds see their common parts only, merges stay the same."""
+    rng = random.Random(1)
+    rare = [" " + "".join(rng.choice("0123456789abcdef") for _ in range(12)) for _ in range(3000)]
+    rows = [(p, 1) for p in rare] + [(f" {a}{b}", 5000) for a in ("the", "then", "other") for b in ("", "re", "in")]
+    counts = spark.createDataFrame(rows, "piece string, n bigint").persist()
+    sizes, change = [], bpe._changes
+
+    def sized(symbols, floor):
+        sizes.append(symbols.count())
+        return change(symbols, floor)
+
+    monkeypatch.setattr(bpe, "_changes", sized)
+    cut = bpe.train_bpe(counts, vocab_size=5 + 256 + 8, alphabet="all")
+    assert max(sizes) < 100
+    monkeypatch.setattr(bpe, "WHOLE_PAIRS", 1 << 16)  # nothing is cut
+    whole = bpe.train_bpe(counts, vocab_size=5 + 256 + 8, alphabet="all")
+    assert (cut.tokens, cut.merges) == (whole.tokens, whole.merges) and max(sizes) >= 9
+
+
+@pytest.mark.parametrize("share,size", [(1, 60), (0.1, 60), (0.02, 200)])
+def test_cuts_that_were_too_deep_are_taken_back(texts, monkeypatch, share, size):
+    """However many pairs of bytes are cut at first."""
+    counts = bpe.piece_counts(texts.where("doc_id < 30 or doc_id >= 1000000")).persist()
+    plain = bpe.train_bpe(counts, vocab_size=size + 105)
+    monkeypatch.setattr(bpe, "WHOLE_PAIRS", share)
+    deep = bpe.train_bpe(counts, vocab_size=size + 105)
+    assert (deep.tokens, deep.merges) == (plain.tokens, plain.merges)
+
+
 def test_pool_keeps_what_it_must():
     pool = bpe.PairPool({"ab": 9, "bc": 5, "cd": 4}, 3, 2)
     assert pool.best(2) == ([("ab", 9), ("bc", 5)], 4)
