@@ -20,6 +20,7 @@ from __future__ import annotations
 import functools
 import hashlib
 import heapq
+import itertools
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
 
@@ -435,6 +436,9 @@ def _id_of(char: str) -> int:
 # Encoded pieces per vocabulary, kept by a Python worker from task to task.
 _PIECES: dict[str, dict[str, list[int]]] = {}
 _MAX_PIECES = 200_000
+# Symbols of a piece that is merged without a heap.
+SHORT_PIECE = 32
+_NO_MERGE = (1 << 62, -1)
 
 
 class BpeCodec:
@@ -468,8 +472,29 @@ class BpeCodec:
         return found
 
     def _merge(self, text: str) -> list[int]:
-        """Lowest-ranked pair first, leftmost of equals; a heap over a linked list."""
-        ids = [i for i in (self.byte_id[b] for b in text.encode("utf-8")) if i >= 0]
+        """Lowest-ranked pair first, leftmost of equals."""
+        ids = [i for i in map(self.byte_id.__getitem__, text.encode("utf-8")) if i >= 0]
+        return self._merge_short(ids) if len(ids) <= SHORT_PIECE else self._merge_long(ids)
+
+    def _merge_short(self, ids: list[int]) -> list[int]:
+        """For a few symbols: the best of all pairs is looked for after each merge."""
+        rank = self.rank
+        pairs = [rank.get(p, _NO_MERGE) for p in zip(ids, ids[1:])]
+        while pairs:
+            best = min(pairs)
+            if best is _NO_MERGE:
+                break
+            i = pairs.index(best)
+            ids[i : i + 2] = (best[1],)
+            del pairs[i]
+            if i:
+                pairs[i - 1] = rank.get((ids[i - 1], ids[i]), _NO_MERGE)
+            if i < len(pairs):
+                pairs[i] = rank.get((ids[i], ids[i + 1]), _NO_MERGE)
+        return ids
+
+    def _merge_long(self, ids: list[int]) -> list[int]:
+        """A heap over a linked list."""
         n = len(ids)
         before, after = list(range(-1, n - 1)), list(range(1, n + 1))
         alive = [True] * n
@@ -575,7 +600,7 @@ def encode_pieces(pieces: Column, codec: BpeCodec) -> Column:
             return _lists(zeros, empty, batch)
         ids = [codec.piece(p) for p in coded.dictionary.to_pylist()]
         sizes = np.fromiter((len(x) for x in ids), dtype=np.int64, count=len(ids))
-        table = np.concatenate([np.asarray(x, dtype=np.int32) for x in ids])
+        table = np.fromiter(itertools.chain.from_iterable(ids), np.int32, int(sizes.sum()))
         first = np.concatenate([[0], np.cumsum(sizes)[:-1]])
         which = np.asarray(coded.indices)
         lengths = sizes[which]

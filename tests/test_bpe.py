@@ -167,6 +167,17 @@ def test_encode_and_decode_equal_library(texts, lines, learned):
     assert [r.back for r, _ in plain] == decoded
 
 
+def test_short_pieces_merge_like_long_ones(learned):
+    """Without a heap: the same ids, also where merges overlap or two of them spell one token."""
+    rng = random.Random(2)
+    twice = bpe.BpeCodec(list("abc") + ["ab", "abc", "bc", "aa"], [(0, 0, 6), (0, 1, 3), (3, 2, 4), (1, 2, 5), (0, 5, 4), (4, 0, 3)])
+    for codec, letters in ((bpe.codec_of(learned), " etaoin<>é"), (twice, "abc")):
+        for _ in range(3000):
+            text = "".join(rng.choice(letters) for _ in range(rng.randrange(1, 24)))
+            ids = [i for i in map(codec.byte_id.__getitem__, text.encode()) if i >= 0]
+            assert codec._merge_short(list(ids)) == codec._merge_long(list(ids)), text
+
+
 def test_added_tokens_equal_library(spark, lines, learned):
     t = library(lines, 270, 64)
     runs = [" " * n for n in range(2, 25)]
