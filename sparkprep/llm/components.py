@@ -3,7 +3,8 @@
 Alternating star contraction: every round points the larger neighbours of a node
 at the smallest node it knows (large star), then the smaller ones (small star),
 until the edges form stars. The number of rounds grows with the logarithm of the
-longest chain. Each round is written to the shared folder, and the one before deleted.
+longest chain. Each step of a round is written to the shared folder, and the one
+before deleted, so that a plan never holds more than one join.
 """
 
 from __future__ import annotations
@@ -12,10 +13,6 @@ from pyspark.sql import DataFrame, functions as F
 
 from sparkprep.llm.common import Scratch
 
-# A node is hot with this many edges, and with more than this share of all edges' ends.
-HOT_EDGES = 1_000
-HOT_SHARE = 10_000
-
 
 def connected_components(
     edges: DataFrame, a: str = "a", b: str = "b", keep: Scratch | None = None
@@ -23,52 +20,32 @@ def connected_components(
     """``node, root`` for every node with an edge to another; root is the smallest node reached.
 
     The result reads the table ``edges`` of ``keep``, which the caller may drop after use.
+    The smallest neighbours are found with map-side combining. Both sides of a join are
+    stored tables, merged: Spark splits a node with very many edges, and nothing is broadcast.
     """
     x, y = F.col(a), F.col(b)
     keep = keep or Scratch(edges.sparkSession)
-    now = keep.put(
-        "edges", edges.where(x != y).select(F.greatest(x, y).alias("u"), F.least(x, y).alias("v")).distinct(),
-        packed=True,
-    )
-    state = _digest(now)
-    while state[0]:
-        both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = _to_smallest(both, state[0]).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.where("u != v").distinct()
-        small = _to_smallest(large, state[0]).select(
-            F.explode(
-                F.array(
-                    F.struct("u", F.col("m").alias("v")),
-                    F.struct(F.col("v").alias("u"), F.col("m").alias("v")),
-                )
-            ).alias("e")
-        )
-        now = keep.put("edges", small.select("e.u", "e.v").where("u != v").distinct(), packed=True)
-        after = _digest(now)
-        if after == state:
-            break
-        state = after
+    ends = edges.where(x != y).select(F.greatest(x, y).alias("u"), F.least(x, y).alias("v"))
+    now = keep.put("edges", ends.distinct())
+    while not _stars(least := keep.put("least", _smallest(now))):
+        nearest = least.select(F.col("u").alias("v"), F.least("u", "m").alias("m"))
+        # The larger end of every edge goes to the smallest node that the other end knows.
+        large = now.join(nearest.hint("merge"), "v").select("u", F.col("m").alias("v"))
+        large = keep.put("large", large)
+        least = keep.put("least", large.groupBy("u").agg(F.min("v").alias("m")))
+        small = large.join(least.hint("merge"), "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        now = keep.put("edges", small.union(least).distinct())
+    keep.drop("least", "large")
     return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
-def _to_smallest(pairs: DataFrame, edges: int) -> DataFrame:
-    """Add m, the smallest of u and its neighbours v.
-
-    The smallest one is found with map-side combining. ``pairs`` has at most two rows per
-    edge, so at most ``2 * HOT_SHARE`` nodes are hot; those are broadcast, and their rows are
-    not shuffled. The rows of all others are joined.
-    """
-    least = pairs.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("_n"))
-    least = least.select("u", F.least("u", "m").alias("m"), "_n")
-    hot_at = max(HOT_EDGES, edges // HOT_SHARE)
-    hot = F.broadcast(least.where(F.col("_n") > hot_at).drop("_n"))
-    cold = least.where(F.col("_n") <= hot_at).drop("_n")
-    return pairs.join(hot, "u").unionByName(pairs.join(hot, "u", "left_anti").join(cold, "u"))
+def _smallest(now: DataFrame) -> DataFrame:
+    """``u, m, n``: of every node its smallest neighbour and the number of its edges."""
+    ends = F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))
+    both = now.select(F.explode(ends).alias("e")).select("e.u", "e.v")
+    return both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
 
 
-def _digest(pairs: DataFrame) -> tuple:
-    """Number and order-free checksum of the edges: equal when a round changed nothing."""
-    row = pairs.agg(
-        F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.sum(F.col("v").cast("decimal(38,0)"))
-    ).first()
-    return tuple(row)
+def _stars(least: DataFrame) -> bool:
+    """Whether every node is the smallest of its neighbours or has one edge only, to a smaller node."""
+    return least.where("m < u and n > 1").isEmpty()
