@@ -13,6 +13,9 @@ larger than ``TILE`` words is dealt into tiles, and every pair of tiles is compa
 by itself, so no bucket is one task and none is cut short. Two words that meet in several
 buckets count in the first of them, which the lengths of prefix and suffix tell.
 
+Joins merge sorted rows: a word has a row in some twenty buckets, which Spark's estimates do not
+know, so it would send tables to the driver and every task that only look small.
+
 No pairs are written. A block returns, for each of its words, how many others are near and
 the best of them; these are added up with map-side combining.
 
@@ -84,7 +87,7 @@ def tiles(words: DataFrame, tile: int = TILE) -> DataFrame:
     sizes = rows.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
     count = F.ceil(F.col("size") / F.lit(tile)).cast("int")
     mine = F.pmod(F.xxhash64("word", F.lit(7)), count).cast("int")
-    dealt = rows.join(sizes, "bucket").withColumns({"mine": mine, "_count": count})
+    dealt = rows.join(sizes.hint("merge"), "bucket").withColumns({"mine": mine, "_count": count})
     met = dealt.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_count") - 1)))
     return met.select(
         "bucket", "short", "longer", "segment",
@@ -242,7 +245,7 @@ def roots(forms: DataFrame) -> DataFrame:
     while True:
         after = now.select(F.col("word").alias("root"), F.col("root").alias("_next"))
         step, newer = written(
-            now.join(after, "root", "left").select(
+            now.join(after.hint("merge"), "root", "left").select(
                 "word", F.coalesce("_next", "root").alias("root"), F.col("_next").isNotNull().alias("moved")
             ),
             "forms",
@@ -266,7 +269,7 @@ def spelling_variants(words: DataFrame, ratio: int = RATIO, tile: int = TILE) ->
     near = near_words(counted, tile)
     good = F.col("best_n") >= F.lit(ratio) * F.col("n")
     judged = stored(
-        counted.join(near, "word", "left").select(
+        counted.join(near.hint("merge"), "word", "left").select(
             "word",
             "n",
             F.coalesce("n_near", F.lit(0)).cast("bigint").alias("n_near"),
@@ -276,4 +279,4 @@ def spelling_variants(words: DataFrame, ratio: int = RATIO, tile: int = TILE) ->
         "variants",
     )
     ends = roots(judged.where("form is not null"))
-    return judged.join(ends, "word", "left").withColumn("root", F.coalesce("root", "word"))
+    return judged.join(ends.hint("merge"), "word", "left").withColumn("root", F.coalesce("root", "word"))

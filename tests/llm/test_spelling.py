@@ -122,3 +122,23 @@ def test_query_against_brute_force(spark, tmp_path):
     got = {r["word"]: tuple(r)[1:] for r in queries_search.op13(spark, str(tmp_path)).collect()}
     want = {w: (n, near, form, form_n, root) for w, (n, near, form, form_n, root) in brute(counts).items()}
     assert {w: (v[0], v[1], v[2], v[3], v[4]) for w, v in got.items()} == want
+
+
+def test_nothing_is_broadcast(spark, monkeypatch):
+    """Spark does not see how many rows a word's buckets make, so no size may decide on a broadcast."""
+    plans = []
+
+    def seen(write):
+        def put(df, *args):
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+            return write(df, *args)
+
+        return put
+
+    for name in ("stored", "written"):
+        monkeypatch.setattr(spelling, name, seen(getattr(spelling, name)))
+    words = spark.createDataFrame([("abcdef", 50), ("abcdeg", 9), ("abcdfg", 1), ("xyz", 2)], "word string, n bigint")
+    found = spelling_variants(words)
+    assert {r["word"]: r["root"] for r in found.collect()} == {"abcdef": "abcdef", "abcdeg": "abcdef", "abcdfg": "abcdef", "xyz": "xyz"}
+    plans.append(found._jdf.queryExecution().executedPlan().toString())
+    assert sum("SortMergeJoin" in p for p in plans) >= 3 and not any("Broadcast" in p for p in plans)
