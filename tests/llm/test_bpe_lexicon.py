@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import hashlib
 import random
+from collections import Counter
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from sparkprep.llm import lexicon
+from sparkprep.llm import bpe, lexicon
 from sparkprep.llm.bpe import Encoder, Merges, decode, encode, frequent_words
 from sparkprep.llm.queries import op7
 
@@ -96,6 +99,22 @@ def test_frequent_words_fit_the_bound(spark):
     assert [sorted(frequent_words(df, "text", n)) for n in (0, 1, 3, 4)] == [[], ["a"], ["a", "b"], ["a", "b", "c", "d"]]
 
 
+def test_words_of_all_texts_are_counted(spark, monkeypatch):
+    """Every word is in two of 30,000 texts: one that is not read would lose it."""
+    letters = F.translate(F.expr("id div 2").cast("string"), "0123456789", "abcdefghij")
+    df = spark.range(30_000).select(F.concat(F.lit("The "), letters, F.lit(", the")).alias("text"))
+    want = {"the", ","} | {"".join(chr(97 + int(c)) for c in str(i)) for i in range(15_000)}
+    assert set(frequent_words(df, "text", 20_000)) == want
+    monkeypatch.setattr(bpe, "COUNTED_WORDS", 3)
+    texts = ["Éa éa", "don't x,x", "a1 b c d", "a b c d\x85e", "", None]
+    rows = pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["text"])
+    got = Counter()
+    for part in bpe._count(iter([rows, rows])):
+        got.update(dict(zip(*(c.to_pylist() for c in part.columns))))
+    once = [p for t in texts if t for w in t.split() for p in bpe.plain_pieces(w)]
+    assert got == Counter(once + once)
+
+
 def test_odd_tables(spark, library):
     rows = [(None, None, 5), (1, "", 6), (1, "the the", 7), (1, "the the", 7), (2, "ab " * 200_000, 8)]
     df = spark.createDataFrame(rows, "doc_id bigint, text string, ids int")
