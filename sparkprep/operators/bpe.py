@@ -20,7 +20,6 @@ from __future__ import annotations
 import functools
 import hashlib
 import heapq
-import itertools
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
 
@@ -439,6 +438,7 @@ _MAX_PIECES = 200_000
 # Symbols of a piece that is merged without a heap.
 SHORT_PIECE = 32
 _NO_MERGE = (1 << 62, -1)
+_NO_RANK = np.iinfo(np.int64).max
 
 
 class BpeCodec:
@@ -454,6 +454,10 @@ class BpeCodec:
         self.tokens = tokens
         self.added = {t: tokens.index(t) for t in added}
         self.rank = {(a, b): (r, c) for r, (a, b, c) in reversed(list(enumerate(merges)))}
+        # Pairs as sorted numbers with their ranks, and the token of each rank; one that no pair can be if none.
+        ranked = sorted((a << 32 | b, r) for (a, b), (r, _) in self.rank.items()) or [(-1, 0)]
+        keys, ranks = np.array(ranked, np.int64).T
+        self._ranks = keys.copy(), ranks.copy(), np.array([c for _, _, c in merges] or [0], np.int64)
         index = {t: i for i, t in enumerate(tokens)}
         self.byte_id = [index.get(c, -1) for c in BYTE_CHARS]
         self.raw = [self._bytes(t) for t in tokens]
@@ -471,6 +475,53 @@ class BpeCodec:
             known[text] = found
         return found
 
+    def pieces(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Sizes and all ids of the pieces, the short ones merged together."""
+        wide = texts.cast(pa.large_string())
+        _, offsets, data = wide.buffers()
+        ends = np.frombuffer(offsets, np.int64)[wide.offset : wide.offset + len(wide) + 1]
+        text = np.frombuffer(data, np.uint8)[ends[0] : ends[-1]] if ends[-1] > ends[0] else np.zeros(0, np.uint8)
+        symbols = np.array(self.byte_id)[text]
+        known = symbols >= 0
+        ends = np.concatenate([[0], np.cumsum(known)])[ends - ends[0]]
+        sizes, symbols = np.diff(ends), symbols[known]
+        owner = np.repeat(np.arange(len(wide)), sizes)
+        alone = sizes > SHORT_PIECE
+        if self.added:
+            alone |= pc.is_in(wide, value_set=pa.array(list(self.added), pa.large_string())).to_numpy(zero_copy_only=False)
+        short = ~alone[owner]
+        owners, ids = self._merge_together(owner[short], symbols[short])
+        for i in np.flatnonzero(alone).tolist():
+            found = self.piece(wide[i].as_py())
+            owners.append(np.full(len(found), i))
+            ids.append(np.array(found, np.int64))
+        owner = np.concatenate(owners)
+        order = np.argsort(owner, kind="stable")
+        return np.bincount(owner, minlength=len(wide)), np.concatenate(ids)[order].astype(np.int32)
+
+    def _merge_together(self, owner: np.ndarray, symbols: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """Merge many pieces, in each the leftmost of its best pairs a round; ``owner`` numbers a symbol's piece."""
+        owners, ids = [owner[:0]], [symbols[:0]]
+        keys, ranks, merged = self._ranks
+        while len(symbols):
+            first = np.concatenate([[True], owner[1:] != owner[:-1]])
+            pairs = symbols[:-1] << 32 | symbols[1:]
+            at = np.minimum(np.searchsorted(keys, pairs), len(keys) - 1)
+            rank = np.full(len(symbols), _NO_RANK)
+            rank[:-1] = np.where((keys[at] == pairs) & ~first[1:], ranks[at], _NO_RANK)
+            best = np.minimum.reduceat(rank, np.flatnonzero(first))[np.cumsum(first) - 1]
+            done = best == _NO_RANK
+            owners.append(owner[done])
+            ids.append(symbols[done])
+            where = np.flatnonzero((rank == best) & ~done)
+            where = where[np.concatenate([[True], owner[where[1:]] != owner[where[:-1]]])] if len(where) else where
+            symbols = symbols.copy()
+            symbols[where] = merged[rank[where]]
+            kept = ~done
+            kept[where + 1] = False
+            owner, symbols = owner[kept], symbols[kept]
+        return owners, ids
+
     def _merge(self, text: str) -> list[int]:
         """Lowest-ranked pair first, leftmost of equals."""
         ids = [i for i in map(self.byte_id.__getitem__, text.encode("utf-8")) if i >= 0]
@@ -598,9 +649,7 @@ def encode_pieces(pieces: Column, codec: BpeCodec) -> Column:
             empty = pa.array([], pa.int32())
             zeros = np.zeros(len(batch) + 1, dtype=np.int32)
             return _lists(zeros, empty, batch)
-        ids = [codec.piece(p) for p in coded.dictionary.to_pylist()]
-        sizes = np.fromiter((len(x) for x in ids), dtype=np.int64, count=len(ids))
-        table = np.fromiter(itertools.chain.from_iterable(ids), np.int32, int(sizes.sum()))
+        sizes, table = codec.pieces(coded.dictionary)
         first = np.concatenate([[0], np.cumsum(sizes)[:-1]])
         which = np.asarray(coded.indices)
         lengths = sizes[which]

@@ -6,6 +6,7 @@ import json
 import random
 
 import brute
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer, decoders, models, pre_tokenizers, processors, trainers
@@ -320,3 +321,27 @@ def test_vocab_rules(spark):
     assert (vo.padded_size(70), vo.padded_size(64), vo.padded_size(70, 64, 2)) == (128, 64, 128)
     with pytest.raises(ValueError):
         vo.chunk_special_ids(base)
+
+
+def test_short_pieces_are_merged_together(monkeypatch):
+    """Random merges, also two that give one token, of which the later may hold a better pair."""
+    rng = random.Random(11)
+    for k in range(60):
+        letters = [bpe.BYTE_CHARS[b] for b in b"abc"]
+        tokens, merges = ["[X]", *letters], []
+        for _ in range(rng.randrange(12)):
+            a, b = rng.randrange(1, len(tokens)), rng.randrange(1, len(tokens))
+            if tokens[a] + tokens[b] not in tokens:
+                tokens.append(tokens[a] + tokens[b])
+            merges.append((a, b, tokens.index(tokens[a] + tokens[b])))
+        codec = bpe.BpeCodec(tokens, merges, ["[X]"] if k % 2 else [])
+        some = ["".join(rng.choice("abcaadé") for _ in range(rng.choice([0, 1, 2, 9, 32, 33, 70]))) for _ in range(40)]
+        some += ["[X]", "é", "a" * 32, "a" * 33]
+        want = [codec.piece(p) for p in some]
+        for texts in (pa.array(some), pa.array(["a", *some]).slice(1), pa.array(some[:0], pa.string()), pa.array([""])):
+            sizes, ids = codec.pieces(texts)
+            wanted = want if len(texts) == len(some) else [[]] * len(texts)
+            assert sizes.tolist() == [len(w) for w in wanted]
+            assert ids.tolist() == [i for w in wanted for i in w]
+    monkeypatch.setattr(bpe.BpeCodec, "_merge_short", None)
+    codec.pieces(pa.array(["ab", "abcab"]))
